@@ -21,9 +21,13 @@ def suggest(queries: DataFrame, grams: DataFrame, per_term: int = PER_TERM) -> D
     terms = queries.select(
         "query_id", F.posexplode(F.split("query", " ")).alias("term_pos", "term")
     )
-    asked = terms.select("term").distinct()
-    matched = match.match_queries(asked.withColumn("query", F.col("term")), grams, ["term"])
+    asked = terms.select(F.col("term").alias("_asked")).distinct()
+    matched = match.match_queries(asked, grams, ["_asked"], "_asked")
     # Ranked per distinct term; the map tasks cut to ``per_term`` rows each.
-    first = Window.partitionBy("term").orderBy(F.length("word"), "word")
-    top = matched.withColumn("pos", F.row_number().over(first)).where(F.col("pos") <= per_term)
+    first = Window.partitionBy("_asked").orderBy(F.length("word"), "word")
+    top = (
+        matched.withColumn("pos", F.row_number().over(first))
+        .where(F.col("pos") <= per_term)
+        .withColumnRenamed("_asked", "term")
+    )
     return terms.join(top, "term").select("query_id", "term_pos", "term", "pos", "word")
