@@ -13,23 +13,24 @@ from pyspark.sql import functions as F
 
 # What holds no visible text: comments, and elements whose text is not content.
 # An unclosed comment or script runs to the end of the page, as in a browser.
+# All patterns follow a "<", which comes first so that other text is skipped fast.
 _HIDDEN = (
-    r"<!--.*?(?:-->|\z)"
-    r"|<(script|style|template)(?:[\s/][^>]*+)?+>.*?(?:</\1\s*+>|\z)"
+    r"!--.*?(?:-->|\z)"
+    r"|(script|style|template)(?:[\s/][^>]*+)?+>.*?(?:</\1\s*+>|\z)"
 )
-_TAG = r"<[a-zA-Z/!?](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
+_ATTRIBUTES = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
 # A tag with an unbalanced quote ends at the next ">".
-_LOOSE_TAG = r"<[a-zA-Z/!?][^>]*+>"
+_TAG = rf"[a-z/!?](?:{_ATTRIBUTES}|[^>]*+>)"
 
-_MARKUP = rf"(?is){_HIDDEN}|{_TAG}|{_LOOSE_TAG}"
+_MARKUP = rf"(?is)<(?:{_HIDDEN}|{_TAG})"
 _TITLE = (
-    rf"(?is)^(?:{_HIDDEN}|[^<]++|<(?!title[\s/>]))*+"
+    rf"(?is)^(?:[^<]++|<(?:{_HIDDEN}|(?!title[\s/>])))*+"
     r"<title(?:[\s/][^>]*+)?+>(.*?)(?:</title\s*+>|\z)"
 )
-_ANCHOR = rf"(?is){_HIDDEN}|(<a\s(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>)"
+_ANCHOR = rf"(?is)<(?:{_HIDDEN}|(a\s{_ATTRIBUTES}))"
 _VALUE = r"(\"[^\"]*+\"|'[^']*+'|[^\s\"'>][^\s>]*+)"
 _HREF = (
-    r"(?is)^<a(?:[\s/]++(?!href[\s=])[^\s=>/]++(?:\s*+=\s*+"
+    r"(?is)^a(?:[\s/]++(?!href[\s=])[^\s=>/]++(?:\s*+=\s*+"
     r"(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>][^\s>]*+))?+)*+"
     rf"[\s/]++href\s*+=\s*+{_VALUE}"
 )
@@ -48,30 +49,37 @@ def _named_entities() -> Column:
 
 
 def _decode_piece(piece: Column) -> Column:
-    """Decode the entity a piece starts with; each piece holds at most one."""
-    name = F.regexp_extract(piece, r"^&([A-Za-z][A-Za-z0-9]*);", 1)
-    decimal = F.regexp_extract(piece, r"^&#0*([0-9]{1,7});?", 1)
-    hexa = F.regexp_extract(piece, r"^&#[xX]0*([0-9a-fA-F]{1,6});?", 1)
-    rest = F.regexp_replace(piece, r"^&(?:#[xX][0-9a-fA-F]+;?|#[0-9]+;?|[A-Za-z][A-Za-z0-9]*;)", "")
+    """Decode the entity at the start of a piece, whose ``&`` was cut off."""
+    name = F.substring_index(piece, ";", 1)
+    named = F.concat(
+        F.try_element_at(_named_entities(), name),
+        F.substring(piece, F.length(name) + 2, F.length(piece)),
+    )
+    decimal = F.regexp_extract(piece, r"^#0*([0-9]{1,7})", 1)
+    hexa = F.regexp_extract(piece, r"^#[xX]0*([0-9a-fA-F]{1,6})", 1)
     code = F.when(hexa != "", F.conv(hexa, 16, 10).cast("int")).when(
         decimal != "", decimal.cast("int")
     )
     valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
     char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    named = F.try_element_at(_named_entities(), name)
-    decoded = F.when(code.isNotNull(), F.when(valid, char).otherwise(" ")).otherwise(named)
-    return F.when(
-        piece.startswith("&"), F.coalesce(F.concat(decoded, rest), piece)
-    ).otherwise(piece)
+    numbered = F.when(
+        code.isNotNull(),
+        F.concat(
+            F.when(valid, char).otherwise(" "),
+            F.regexp_replace(piece, r"^#(?:[xX][0-9a-fA-F]+|[0-9]+);?", ""),
+        ),
+    )
+    decoded = F.when(piece.startswith("#"), numbered).otherwise(named)
+    return F.coalesce(decoded, F.concat(F.lit("&"), piece))
 
 
 def decode_entities(text: Column) -> Column:
     """Replace character entities once, left to right (``&amp;lt;`` -> ``&lt;``)."""
-    pieces = F.split(text, "(?=&)")
-    return F.when(
-        F.contains(text, F.lit("&")),
-        F.array_join(F.transform(pieces, _decode_piece), ""),
-    ).otherwise(text)
+    pieces = F.transform(
+        F.split(text, "&"),
+        lambda piece, i: F.when(i == 0, piece).otherwise(_decode_piece(piece)),
+    )
+    return F.when(F.contains(text, F.lit("&")), F.array_join(pieces, "")).otherwise(text)
 
 
 def strip_markup(html: Column) -> Column:

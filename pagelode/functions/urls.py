@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ def _part(url: Column, index: int) -> Column:
 
 def followable(href: Column) -> Column:
     """Case-sensitive prefix rule: drops ``telephone.html`` as well."""
-    return ~href.rlike("^(" + "|".join(SKIPPED_PREFIXES) + ")")
+    return ~reduce(Column.__or__, [href.startswith(p) for p in SKIPPED_PREFIXES])
 
 
 def host(url: Column) -> Column:
@@ -101,10 +103,13 @@ def resolve_url(base: Column, href: Column) -> Column:
     path = _part(ref, _PATH)
     tail = F.concat(_part(ref, _QUERY), _part(ref, _FRAGMENT))
     return (
-        F.when(ref == "", base["url"])
+        F.when(
+            ref.startswith("/") & ~ref.startswith("//") & ~F.contains(ref, F.lit("/.")),
+            F.concat(base["root"], ref),
+        )
+        .when(ref == "", base["url"])
         .when(ref.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), ref)
         .when(ref.startswith("//"), F.concat(base["scheme"], F.lit(":"), ref))
-        .when(ref.startswith("/") & ~F.contains(ref, F.lit("/.")), F.concat(base["root"], ref))
         .when(ref.startswith("/"), F.concat(base["root"], _remove_dots(path), tail))
         .when(ref.startswith("?"), F.concat(base["root"], base["path"], ref))
         .when(ref.startswith("#"), F.concat(base["root"], base["path"], base["query"], ref))

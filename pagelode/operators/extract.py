@@ -42,29 +42,45 @@ def page_text(pages: DataFrame) -> DataFrame:
     )
 
 
-def page_words(texts: DataFrame) -> DataFrame:
-    """Adds ``words``, the lowercased alphabetic words of ``text`` in order."""
-    return settled(texts.withColumn("words", words.alphabetic_words(F.col("text"))).drop("text"))
+def _words(df: DataFrame) -> DataFrame:
+    return df.withColumn("words", words.alphabetic_words(F.col("text"))).drop("text")
 
 
-def detect_language(df: DataFrame, languages=words.LANGUAGES) -> DataFrame:
-    """Adds ``language``: the language with most stop words among ``words``."""
+def _language(df: DataFrame, languages) -> DataFrame:
     names = df.columns
     hits = df.withColumn("_hits", words.any_stop_words("words", languages))
     votes = words.language_votes("_hits", languages)
     counted = hits.select(*names, *[v.alias(f"_votes_{lang}") for lang, v in votes.items()])
     best = words.top_language({lang: F.col(f"_votes_{lang}") for lang in languages})
-    return settled(counted.select(*names, best.alias("language")))
+    return counted.select(*names, best.alias("language"))
+
+
+def _content(df: DataFrame) -> DataFrame:
+    return df.withColumn("words", words.without_stop_words("words", "language"))
+
+
+def _lemmas(df: DataFrame) -> DataFrame:
+    return df.withColumn("words", words.lemmas(F.col("words"), F.col("language")))
+
+
+def page_words(texts: DataFrame) -> DataFrame:
+    """``words``, the lowercased alphabetic words in order, in place of ``text``."""
+    return settled(_words(texts))
+
+
+def detect_language(df: DataFrame, languages=words.LANGUAGES) -> DataFrame:
+    """Adds ``language``: the language with most stop words among ``words``."""
+    return settled(_language(df, languages))
 
 
 def content_words(df: DataFrame) -> DataFrame:
     """Drops the stop words of the page's language from ``words``."""
-    return settled(df.withColumn("words", words.without_stop_words("words", "language")))
+    return settled(_content(df))
 
 
 def rule_lemmas(df: DataFrame) -> DataFrame:
     """Replaces every word by its lemma."""
-    return settled(df.withColumn("words", words.lemmas(F.col("words"), F.col("language"))))
+    return settled(_lemmas(df))
 
 
 def table_lemmas(tokens: DataFrame, table: DataFrame) -> DataFrame:
@@ -169,8 +185,9 @@ def extract(pages: DataFrame, languages=words.LANGUAGES, lemmatise: bool = True)
         F.transform(
             "hrefs", lambda href: urls.resolve_url(F.col("base"), href)
         ).alias("targets"),
-        html.clean_control(F.concat_ws(" ", "title", "_text")).alias("text"),
+        # Control characters separate words like spaces, so they may stay here.
+        F.concat_ws(" ", "title", "_text").alias("text"),
     )
-    worded = content_words(detect_language(page_words(texts), languages))
-    done = rule_lemmas(worded) if lemmatise else worded
-    return done.select("link_id", "url", "title", "language", "words", "targets")
+    worded = _content(_language(_words(texts), languages))
+    done = _lemmas(worded) if lemmatise else worded
+    return settled(done.select("link_id", "url", "title", "language", "words", "targets"))

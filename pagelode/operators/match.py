@@ -141,12 +141,14 @@ def match_terms(terms: DataFrame, grams: DataFrame) -> DataFrame:
         .select("term", "prefix", "word")
     )
 
-    def starting(size: int) -> DataFrame:
-        short = wanted.where(F.col("prefix") & (F.length("term") == size))
-        heads = grams.select(F.left("gram", F.lit(size)).alias("term"), "word")
-        return heads.join(short, "term").select("term", "prefix", "word").distinct()
-
-    return reduce(DataFrame.unionByName, [starting(n) for n in range(1, GRAM)], by_gram)
+    heads = F.array(*[F.left("gram", F.lit(n)) for n in range(1, GRAM)])
+    by_prefix = (
+        grams.select(F.explode(heads).alias("term"), "word")
+        .join(wanted.where(F.col("prefix") & F.length("term").between(1, GRAM - 1)), "term")
+        .select("term", "prefix", "word")
+        .distinct()
+    )
+    return by_gram.unionByName(by_prefix)
 
 
 def match_queries(

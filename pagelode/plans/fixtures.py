@@ -142,10 +142,9 @@ def start_urls(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def allowed_domains(spark: SparkSession, sf: str) -> DataFrame:
-    """Hosts of the German pages, without their first label."""
+    """Hosts of the German pages."""
     german = pages(spark, sf).where(F.contains("html", F.lit('<html lang="de">')))
-    domain = F.regexp_replace(urls.host(F.col("url")), r"^[^.]*\.", "")
-    return german.groupBy(domain.alias("domain")).agg(F.min("page_id").alias("id")).select(
+    return german.groupBy(urls.host(F.col("url")).alias("domain")).agg(F.min("page_id").alias("id")).select(
         "id", "domain"
     )
 

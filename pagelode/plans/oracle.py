@@ -107,7 +107,7 @@ _CTES = {
     "timed": """select p.page_id as link_id, p.url, e.indexed_at from pages p left join (
         select user_id, max(ts) as indexed_at from events group by user_id) e on e.user_id = p.page_id""",
     "starts": f"""select min(page_id) as id, arg_min(url, page_id) as url from pages group by {_HOST}""",
-    "domains": f"""select regexp_replace({_HOST}, '^[^.]*\\.', '') as domain, min(page_id) as id
+    "domains": f"""select {_HOST} as domain, min(page_id) as id
       from pages where html like '%<html lang="de">%' group by 1""",
     "oedge": """select distinct l_orderkey as link_id_from, cast(l_partkey as varchar) as url_to
       from lineitem""",

@@ -1,4 +1,4 @@
-"""Schemas of the six base tables and of the page input.
+"""Schemas as DDL: the page input, the base tables, the search tables.
 
 Natural keys replace generated ids where one exists: a word is its own key,
 and a link keeps the id its source gives it. Counts are BIGINT.
@@ -6,31 +6,27 @@ and a link keeps the id its source gives it. Counts are BIGINT.
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
+PAGES = "page_id BIGINT, url STRING, html STRING, content_type STRING, fetched_at TIMESTAMP"
 
+# Base tables; every batch appends its rows.
+BASE = {
+    "link": "link_id BIGINT, url STRING, language STRING, title STRING, batch_id BIGINT",
+    "wordrelation": "word STRING, link_id BIGINT, weight BIGINT, batch_id BIGINT",
+    "backlinks": "link_id_from BIGINT, url_to STRING, batch_id BIGINT",
+    "touched": "link_id BIGINT, indexed_at TIMESTAMP, batch_id BIGINT",
+}
 
-def _fields(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
-
-
-PAGES = _fields(
-    "page_id BIGINT, url STRING, html STRING, content_type STRING, fetched_at TIMESTAMP"
-)
-LINK = _fields(
-    "link_id BIGINT, url STRING, language STRING, title STRING, indexed_at TIMESTAMP"
-)
-WORD = _fields("word STRING")
-POSTING = _fields("word STRING, link_id BIGINT, weight BIGINT")
-START_URLS = _fields("id BIGINT, url STRING")
-ALLOWED_DOMAINS = _fields("id BIGINT, domain STRING")
-EDGE = _fields("link_id_from BIGINT, url_to STRING")
-
-# Key columns of every base table, and the parent each foreign key points to.
-KEYS = {
-    "word": ["word"],
-    "link": ["url"],
-    "wordrelation": ["word", "link_id"],
-    "starturls": ["url"],
-    "alloweddomains": ["domain"],
-    "backlinks": ["link_id_from", "url_to"],
+# Search tables, built from the base tables.
+SEARCH = {
+    "links": (
+        "link_id BIGINT, url STRING, language STRING, title STRING, page_length BIGINT, "
+        "inlinks BIGINT, bucket INT"
+    ),
+    "postings": (
+        "word STRING, link_id BIGINT, weight BIGINT, language STRING, page_length BIGINT, "
+        "inlinks BIGINT, bucket INT"
+    ),
+    "words": "word STRING",
+    "grams": "gram STRING, word STRING, bucket INT",
+    "stats": "pairs BIGINT, max_inlinks BIGINT, buckets INT",
 }

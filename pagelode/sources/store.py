@@ -13,29 +13,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagelode import schema
 from pagelode.operators import index as ix
 from pagelode.operators import match
 from pagelode.operators import search as se
 
-_BASE = {
-    "link": "link_id BIGINT, url STRING, language STRING, title STRING, batch_id BIGINT",
-    "wordrelation": "word STRING, link_id BIGINT, weight BIGINT, batch_id BIGINT",
-    "backlinks": "link_id_from BIGINT, url_to STRING, batch_id BIGINT",
-    "touched": "link_id BIGINT, indexed_at TIMESTAMP, batch_id BIGINT",
-}
-_SEARCH = {
-    "links": (
-        "link_id BIGINT, url STRING, language STRING, title STRING, page_length BIGINT, "
-        "inlinks BIGINT, bucket INT"
-    ),
-    "postings": (
-        "word STRING, link_id BIGINT, weight BIGINT, language STRING, page_length BIGINT, "
-        "inlinks BIGINT, bucket INT"
-    ),
-    "words": "word STRING",
-    "grams": "gram STRING, word STRING, bucket INT",
-    "stats": "pairs BIGINT, max_inlinks BIGINT, buckets INT",
-}
+# A search reads whole buckets: a few million rows are a few files.
+POSTINGS_PER_BUCKET = 5_000_000
+MAX_BUCKETS = 4096
 
 
 class IndexStore:
@@ -53,11 +38,11 @@ class IndexStore:
 
     def base(self, name: str, before: int | None = None) -> DataFrame:
         """A base table with its ``batch_id``; with ``before``, earlier batches only."""
-        schema = _BASE[name]
+        columns = schema.BASE[name]
         folder = f"{self.path}/base/{name}"
         if not self._exists(folder):
-            return self.spark.createDataFrame([], schema)
-        rows = self.spark.read.schema(schema).parquet(folder)
+            return self.spark.createDataFrame([], columns)
+        rows = self.spark.read.schema(columns).parquet(folder)
         return rows if before is None else rows.where(F.col("batch_id") < before)
 
     def link(self, before: int | None = None) -> DataFrame:
@@ -93,10 +78,16 @@ class IndexStore:
 
     # Search tables
 
-    def write_search(self, tables: ix.IndexTables, buckets: int = 64) -> se.SearchIndex:
+    def write_search(self, tables: ix.IndexTables, buckets: int | None = None) -> se.SearchIndex:
         """Build the search tables. Each is sorted and split by range, so a word
-        on a third of all pages fills many files and tasks, not one."""
+        on a third of all pages fills many files and tasks, not one.
+
+        Without a number of ``buckets`` it follows the number of postings.
+        """
         target = f"{self.path}/search"
+        stats = se.corpus_stats(tables.postings, tables.edges).first()
+        if buckets is None:
+            buckets = min(MAX_BUCKETS, 1 + stats.pairs // POSTINGS_PER_BUCKET)
 
         def clustered(df: DataFrame, name: str, key: str, *then: str) -> DataFrame:
             order = ["bucket", key, *then]
@@ -123,9 +114,9 @@ class IndexStore:
         )
         ix.dictionary(postings).write.mode("overwrite").parquet(f"{target}/words")
         clustered(match.word_grams(self._search("words")), "grams", "gram", "word")
-        se.corpus_stats(tables.postings, tables.edges).withColumn(
-            "buckets", F.lit(buckets)
-        ).coalesce(1).write.mode("overwrite").parquet(f"{target}/stats")
+        self.spark.createDataFrame(
+            [(stats.pairs, stats.max_inlinks, buckets)], schema.SEARCH["stats"]
+        ).write.mode("overwrite").parquet(f"{target}/stats")
         return self.search_index()
 
     def search_index(self) -> se.SearchIndex:
@@ -140,7 +131,7 @@ class IndexStore:
         )
 
     def _search(self, name: str) -> DataFrame:
-        return self.spark.read.schema(_SEARCH[name]).parquet(f"{self.path}/search/{name}")
+        return self.spark.read.schema(schema.SEARCH[name]).parquet(f"{self.path}/search/{name}")
 
     def _exists(self, folder: str) -> bool:
         jvm = self.spark.sparkContext._jvm
