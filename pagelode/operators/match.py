@@ -104,9 +104,19 @@ def explode_terms(queries: DataFrame, keys: list[str], query: str = "query") ->
     )
 
 
-def match_terms(terms: DataFrame, grams: DataFrame) -> DataFrame:
+def gram_counts(grams: DataFrame) -> DataFrame:
+    """(gram, words): in how many dictionary words each gram occurs."""
+    return grams.groupBy("gram").agg(F.count(F.lit(1)).alias("words"))
+
+
+def match_terms(
+    terms: DataFrame, grams: DataFrame, counts: DataFrame | None = None
+) -> DataFrame:
     """(term, prefix, word) for distinct (term, prefix) rows.
 
+    ``counts`` is the stored ``gram_counts`` of ``grams``; without it the grams
+    of the terms are counted here.
+
     A long term joins on its rarest gram alone: every word with the term has
     that gram, and ``contains`` then keeps exactly the right ones. A term with
     a gram no word has is dropped before the join.
@@ -123,15 +133,14 @@ def match_terms(terms: DataFrame, grams: DataFrame) -> DataFrame:
             )
         ).alias("gram"),
     )
-    counts = (
-        grams.join(term_grams.select("gram").distinct(), "gram", "left_semi")
-        .groupBy("gram")
-        .agg(F.count(F.lit(1)).alias("_words"))
-    )
+    if counts is None:
+        counts = gram_counts(
+            grams.join(term_grams.select("gram").distinct(), "gram", "left_semi")
+        )
     rarest = (
         term_grams.join(counts, "gram", "left")
         .groupBy("term", "prefix")
-        .agg(F.min(F.struct(F.coalesce("_words", F.lit(0)).alias("n"), "gram")).alias("_best"))
+        .agg(F.min(F.struct(F.coalesce("words", F.lit(0)).alias("n"), "gram")).alias("_best"))
         .where(F.col("_best.n") > 0)
         .select("term", "prefix", F.col("_best.gram").alias("gram"))
     )
@@ -152,7 +161,11 @@ def match_terms(terms: DataFrame, grams: DataFrame) -> DataFrame:
 
 
 def match_queries(
-    queries: DataFrame, grams: DataFrame, keys: list[str], query: str = "query"
+    queries: DataFrame,
+    grams: DataFrame,
+    keys: list[str],
+    query: str = "query",
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """(keys, word): the dictionary words that match each query of a table."""
     terms = explode_terms(queries, keys, query)
@@ -160,7 +173,7 @@ def match_queries(
         F.count_if(F.col("role") == "must").alias("_musts")
     )
     hits = (
-        terms.join(match_terms(terms, grams), ["term", "prefix"])
+        terms.join(match_terms(terms, grams, counts), ["term", "prefix"])
         .groupBy(*keys, "word")
         .agg(
             *[F.count_if(F.col("role") == r).alias(f"_{r}") for r in ("any", "must", "not")]

@@ -6,17 +6,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from pagelode.functions import ranking
 from pagelode.operators import index as ix
 from pagelode.operators import match
+from pagelode.session import materialize
 
 # Row counts up to which a key set is read by the driver to prune the scan.
 # Larger sets join instead, so no result depends on these bounds.
 MAX_PRUNING_WORDS = 5_000
-MAX_PRUNING_ROWS = 5_000
+MAX_PRUNING_ROWS = 1_000
 # Largest rank limit Spark applies before the shuffle of a window.
 PRE_SHUFFLE_RANKS = 1_000
 
@@ -34,7 +34,9 @@ class SearchIndex:
     postings: DataFrame  # word, link_id, weight, language, page_length, inlinks
     words: DataFrame  # word
     grams: DataFrame  # gram, word
-    stats: DataFrame  # one row: pairs, max_inlinks
+    gram_counts: DataFrame  # gram, words
+    pairs: Column  # number of word-page pairs
+    max_inlinks: Column  # highest backlink count of any target
     buckets: int | None = None
 
 
@@ -55,14 +57,17 @@ def search_index(tables: ix.IndexTables) -> SearchIndex:
     )
     scored = links.select("link_id", "language", "page_length", "inlinks")
     words = ix.dictionary(tables.postings)
+    grams = match.word_grams(words)
     return SearchIndex(
         links=links,
         postings=tables.postings.join(scored, "link_id").select(
             "word", "link_id", "weight", "language", "page_length", "inlinks"
         ),
         words=words,
-        grams=match.word_grams(words),
-        stats=corpus_stats(tables.postings, tables.edges),
+        grams=grams,
+        gram_counts=match.gram_counts(grams),
+        pairs=tables.postings.agg(F.count(F.lit(1))).scalar(),
+        max_inlinks=ix.max_inlinks(tables.edges).scalar(),
     )
 
 
@@ -76,35 +81,52 @@ def _bounded(df: DataFrame, bound: int) -> list | None:
     return rows if len(rows) <= bound else None
 
 
-def _prune(index: SearchIndex, table: DataFrame, key: str, values: list) -> DataFrame:
-    """Reads only the partitions that can hold ``values``, then those values."""
-    if index.buckets:
-        kind = "string" if key == "word" else "bigint"
-        keys = table.sparkSession.createDataFrame([(v,) for v in values], f"k {kind}")
-        found = keys.select(bucket_of(F.col("k"), index.buckets).alias("b")).distinct().collect()
-        table = table.where(F.col("bucket").isin([row.b for row in found]))
-    return table.where(F.col(key).isin(values))
+def _bucket(index: SearchIndex, key: str) -> Column:
+    return bucket_of(F.col(key), index.buckets).alias("bucket")
+
+
+def _is_in(column: str, values: set) -> Column:
+    """Membership in a literal list, as one SQL text rather than a call per value."""
+
+    def literal(value) -> str:
+        if isinstance(value, int):
+            return str(value)
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
+
+    if not values:
+        return F.lit(False)
+    return F.expr(f"{column} IN ({', '.join(map(literal, sorted(values)))})")
+
+
+def _prune(table: DataFrame, key: str, rows: list) -> DataFrame:
+    """Reads only the partitions that can hold the rows' keys, then those keys."""
+    return table.where(_is_in("bucket", {row.bucket for row in rows})).where(
+        _is_in(key, {row[key] for row in rows})
+    )
 
 
 def hits(index: SearchIndex, query: str, language: str) -> DataFrame:
     """Postings of matching words on pages of the language."""
     matched = match.match_words(index.words, query).select("word")
-    rows = _bounded(matched, MAX_PRUNING_WORDS) if index.buckets else None
+    rows = None
+    if index.buckets:
+        rows = _bounded(matched.select("word", _bucket(index, "word")), MAX_PRUNING_WORDS)
     if rows is None:
         found = index.postings.join(matched, "word")
     else:
-        found = _prune(index, index.postings, "word", [row.word for row in rows])
+        found = _prune(index.postings, "word", rows)
     return found.where(F.col("language") == language)
 
 
 def _rank_column(
-    stats: DataFrame, hit_pages: Column, weight: Column, missing_backlinks: str
+    index: SearchIndex, hit_pages: Column, weight: Column, missing_backlinks: str
 ) -> Column:
-    score = ranking.backlink_score(F.col("inlinks"), stats.select("max_inlinks").scalar())
+    score = ranking.backlink_score(F.col("inlinks"), index.max_inlinks)
     if missing_backlinks == "zero":
         score = F.coalesce(score, F.lit(0.0))
     tfidf = ranking.tf_idf(
-        F.col("weight"), F.col("page_length"), stats.select("pairs").scalar(), hit_pages
+        F.col("weight"), F.col("page_length"), index.pairs, hit_pages
     )
     return ranking.blend(tfidf, score, weight)
 
@@ -123,6 +145,19 @@ def _order() -> list[Column]:
     return [F.col("rank").desc_nulls_last(), F.col("url").asc(), F.col("word").asc()]
 
 
+def _with_urls(index: SearchIndex, candidates: DataFrame) -> DataFrame:
+    """Adds url and title to result rows; few rows read only their buckets."""
+    links = index.links.select("link_id", "url", "title", *(["bucket"] if index.buckets else []))
+    if not index.buckets:
+        return candidates.join(links, "link_id")
+    placed = candidates.withColumn("bucket", _bucket(index, "link_id"))
+    rows = _bounded(placed, MAX_PRUNING_ROWS)
+    if rows is None:
+        return placed.join(links, ["bucket", "link_id"])
+    few = links.sparkSession.createDataFrame(rows, placed.schema)
+    return _prune(links, "link_id", rows).join(F.broadcast(few), ["bucket", "link_id"])
+
+
 def search(
     index: SearchIndex,
     query: str,
@@ -150,7 +185,7 @@ def search(
         found.select(
             "link_id",
             "word",
-            _rank_column(index.stats, hit_pages, F.lit(weight_tfidf), missing_backlinks).alias("rank"),
+            _rank_column(index, hit_pages, F.lit(weight_tfidf), missing_backlinks).alias("rank"),
         ),
         [],
         collapse,
@@ -161,16 +196,8 @@ def search(
         F.when(F.count("rank") == wanted, F.min("rank")).alias("last")
     ).scalar()
     candidates = ranked.where(F.coalesce(F.col("rank") >= last, last.isNull()))
-    rows = _bounded(candidates, MAX_PRUNING_ROWS) if index.buckets else None
-    links = index.links
-    if rows is not None:
-        schema = T.StructType.fromDDL("link_id BIGINT, word STRING, rank DOUBLE")
-        candidates = links.sparkSession.createDataFrame(
-            [(r.link_id, r.word, r["rank"]) for r in rows], schema
-        )
-        links = _prune(index, links, "link_id", [r.link_id for r in rows])
     return (
-        candidates.join(links.select("link_id", "url", "title"), "link_id")
+        _with_urls(index, candidates)
         .select("title", "url", "rank", "word")
         .orderBy(*_order())
         .offset(wanted - limit)
@@ -181,18 +208,21 @@ def search(
 def query_hits(index: SearchIndex, queries: DataFrame) -> DataFrame:
     """Postings each query of a table hits; empty queries hit nothing.
 
-    ``queries`` holds query_id, query, language and weight_tfidf. The join
-    carries no hint: a word that fills a third of the postings is split by the
-    skew join, and a small set of matched words is broadcast once measured.
+    ``queries`` holds query_id, query, language and weight_tfidf. With a stored
+    index the matched words are written once, as several steps read them; they
+    prune the postings to their buckets, of which there is a fixed number. The
+    join carries no hint: Spark knows the size of the written set, and a word
+    that fills a third of the postings is split by the skew join.
     """
     asked = queries.where(F.col("query") != "")
-    matched = match.match_queries(asked, index.grams, ["query_id"])
+    matched = match.match_queries(asked, index.grams, ["query_id"], counts=index.gram_counts)
     terms = matched.join(
         asked.select("query_id", F.col("language").alias("_language"), "weight_tfidf"), "query_id"
     )
     if index.buckets:
-        terms = terms.withColumn("bucket", bucket_of(F.col("word"), index.buckets))
-        joined = index.postings.join(terms, ["bucket", "word"])
+        terms = materialize(terms.withColumn("bucket", _bucket(index, "word")), "matched")
+        found = {row.bucket for row in terms.select("bucket").distinct().collect()}
+        joined = index.postings.where(_is_in("bucket", found)).join(terms, ["bucket", "word"])
     else:
         joined = index.postings.join(terms, "word")
     return joined.where(F.col("language") == F.col("_language"))
@@ -227,7 +257,7 @@ def search_batch(
             "link_id",
             "word",
             _rank_column(
-                index.stats, F.col("_hit_pages"), F.col("weight_tfidf"), missing_backlinks
+                index, F.col("_hit_pages"), F.col("weight_tfidf"), missing_backlinks
             ).alias("rank"),
         ),
         ["query_id"],
@@ -246,14 +276,9 @@ def search_batch(
     ).where(F.col("_place") <= wanted)
     ordered = Window.partitionBy("query_id").orderBy(*_order())
     rows = placed.select("query_id", "link_id", "word", "rank")
-    links = index.links.select("link_id", "url", "title", *(["bucket"] if index.buckets else []))
-    if index.buckets:
-        rows = rows.withColumn("bucket", bucket_of(F.col("link_id"), index.buckets))
-        joined = rows.join(links, ["bucket", "link_id"])
-    else:
-        joined = rows.join(links, "link_id")
     return (
-        joined.withColumn("pos", F.row_number().over(ordered))
+        _with_urls(index, rows)
+        .withColumn("pos", F.row_number().over(ordered))
         .where(F.col("pos") <= wanted)
         .where(F.col("pos") > wanted - limit)
         .select("query_id", "pos", "title", "url", "rank", "word")

@@ -12,7 +12,12 @@ from pagelode.operators import match
 PER_TERM = 6
 
 
-def suggest(queries: DataFrame, grams: DataFrame, per_term: int = PER_TERM) -> DataFrame:
+def suggest(
+    queries: DataFrame,
+    grams: DataFrame,
+    per_term: int = PER_TERM,
+    counts: DataFrame | None = None,
+) -> DataFrame:
     """(query_id, term_pos, term, pos, word): shortest matching words per term.
 
     A query is split at every single space; an empty term matches nothing, and
@@ -22,7 +27,7 @@ def suggest(queries: DataFrame, grams: DataFrame, per_term: int = PER_TERM) -> D
         "query_id", F.posexplode(F.split("query", " ")).alias("term_pos", "term")
     )
     asked = terms.select(F.col("term").alias("_asked")).distinct()
-    matched = match.match_queries(asked, grams, ["_asked"], "_asked")
+    matched = match.match_queries(asked, grams, ["_asked"], "_asked", counts)
     # Ranked per distinct term; the map tasks cut to ``per_term`` rows each.
     first = Window.partitionBy("_asked").orderBy(F.length("word"), "word")
     top = (

@@ -231,7 +231,8 @@ def suggest(spark: SparkSession, sf: str) -> DataFrame:
         [(1, "ther  lich"), (2, "keit the ther"), (3, "+tion -ther sc*")],
         "query_id BIGINT, query STRING",
     )
-    found = suggest_words(asked, fx.index(spark, sf).grams)
+    index = fx.index(spark, sf)
+    found = suggest_words(asked, index.grams, counts=index.gram_counts)
     return found.withColumns(
         {"pos": F.col("pos").cast("bigint"), "term_pos": F.col("term_pos").cast("bigint")}
     )

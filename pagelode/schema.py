@@ -28,5 +28,6 @@ SEARCH = {
     ),
     "words": "word STRING",
     "grams": "gram STRING, word STRING, bucket INT",
+    "gram_counts": "gram STRING, words BIGINT",
     "stats": "pairs BIGINT, max_inlinks BIGINT, buckets INT",
 }

@@ -113,21 +113,24 @@ class IndexStore:
             "link_id",
         )
         ix.dictionary(postings).write.mode("overwrite").parquet(f"{target}/words")
-        clustered(match.word_grams(self._search("words")), "grams", "gram", "word")
+        grams = clustered(match.word_grams(self._search("words")), "grams", "gram", "word")
+        match.gram_counts(grams).write.mode("overwrite").parquet(f"{target}/gram_counts")
         self.spark.createDataFrame(
             [(stats.pairs, stats.max_inlinks, buckets)], schema.SEARCH["stats"]
         ).write.mode("overwrite").parquet(f"{target}/stats")
         return self.search_index()
 
     def search_index(self) -> se.SearchIndex:
-        stats = self._search("stats")
+        stats = self._search("stats").first()
         return se.SearchIndex(
             links=self._search("links"),
             postings=self._search("postings"),
             words=self._search("words"),
             grams=self._search("grams"),
-            stats=stats.select("pairs", "max_inlinks"),
-            buckets=stats.first().buckets,
+            gram_counts=self._search("gram_counts"),
+            pairs=F.lit(stats.pairs),
+            max_inlinks=F.lit(stats.max_inlinks),
+            buckets=stats.buckets,
         )
 
     def _search(self, name: str) -> DataFrame:
