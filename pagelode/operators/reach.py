@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagelode.operators.links import allowed_links
-from pagelode.session import scratch_path
+from pagelode.session import materialize, scratch_path
 
 
 def reachable_pages(
@@ -19,33 +19,34 @@ def reachable_pages(
     """(link_id, level) of all pages reached, level 0 being the start pages.
 
     ``link`` holds the pages that are accepted, (link_id, url); the links of
-    others are not followed. Each level is written to the shared folder, which
-    is also the set of pages seen: plans stay short, and a lost executor costs
-    a re-read. Every page's links are followed once, so a cycle ends.
+    others are not followed. Links are resolved to pages once, into a table of
+    id pairs, where the skew join splits a page that a third of all links
+    point to. Each level is written to the shared folder, which is also the
+    set of pages seen: plans stay short, and a lost executor costs a re-read.
+    Every page's links are followed once, so a cycle ends.
     """
     spark = link.sparkSession
     path = scratch_path(spark, "reach")
-    pages = link.select("link_id", "url")
+    pages = link.select("link_id", F.col("url").alias("url_to"))
     if domains is not None:
         edges = allowed_links(edges, domains)
+    hops = materialize(
+        edges.join(pages, "url_to").select("link_id_from", "link_id"), "hops"
+    )
     frontier = (
-        start.select("url").distinct().join(pages, "url").select("link_id")
+        start.select(F.col("url").alias("url_to")).distinct().join(pages, "url_to").select("link_id")
     )
     level = 0
     while True:
         frontier.write.parquet(f"{path}/level={level}")
         seen = spark.read.schema("link_id BIGINT, level INT").parquet(path)
-        reached = seen.where(F.col("level") == level).select("link_id")
+        reached = seen.where(F.col("level") == level).select(F.col("link_id").alias("link_id_from"))
         if reached.isEmpty() or level == max_levels:
             return seen
-        targets = (
-            edges.join(reached.withColumnRenamed("link_id", "link_id_from"), "link_id_from")
-            .select(F.col("url_to").alias("url"))
-            .distinct()
-        )
         frontier = (
-            targets.join(pages, "url")
+            hops.join(reached, "link_id_from")
             .select("link_id")
+            .distinct()
             .join(seen.select("link_id"), "link_id", "left_anti")
         )
         level += 1

@@ -28,8 +28,13 @@ def build_tables(
     lemma_table: DataFrame | None = None,
     unique_urls: bool = False,
 ) -> ix.IndexTables:
-    """Lazy index tables of a page table, for callers that keep no store."""
-    extracted = ex.extract(gated_pages(pages), languages, lemmatise=lemma_table is None)
+    """Index tables of a page table, for callers that keep no store.
+
+    The HTML is read once, here; the tables are lazy over what was extracted.
+    """
+    extracted = materialize(
+        ex.extract(gated_pages(pages), languages, lemmatise=lemma_table is None), "extract"
+    )
     if not unique_urls:
         extracted = ix.first_captures(extracted)
     return ix.index_tables(extracted, lemma_table)

@@ -18,7 +18,7 @@ from pagelode.operators.suggest import suggest as suggest_words
 from pagelode.operators.throttle import recrawl_throttle as throttle
 from pagelode.plans import build
 from pagelode.plans import fixtures as fx
-from pagelode.session import scratch_path
+from pagelode.session import materialize, scratch_path
 from pagelode.sources.pages import list_rows
 from pagelode.sources.store import IndexStore
 from pagelode.streaming.index_stream import stream_index as start_stream
@@ -134,7 +134,7 @@ def match_words_prefix(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def match_by_ngrams(spark: SparkSession, sf: str) -> DataFrame:
-    grams = match.word_grams(fx.document_dictionary(spark, sf))
+    grams = materialize(match.word_grams(fx.document_dictionary(spark, sf)), "grams")
     asked = fx.searches(spark).select("query_id", "query")
     return match.match_queries(asked, grams, ["query_id"])
 
