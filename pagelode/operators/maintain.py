@@ -29,12 +29,18 @@ def insert_ignore(
     key: list[str],
     order: str,
     parents: list[tuple[DataFrame, str, str]] = (),
+    max_len: int | None = None,
 ) -> DataFrame:
     """The rows an insert adds: first of each key, key not stored, parent there.
 
     ``order`` is the column with the input position. ``parents`` lists
-    (parent table, parent column, column of ``rows``).
+    (parent table, parent column, column of ``rows``). ``max_len`` cuts text
+    keys to a number of characters, as a column of limited width does; by
+    default keys are kept whole.
     """
+    if max_len is not None:
+        texts = [c for c, kind in rows.dtypes if c in key and kind == "string"]
+        rows = rows.withColumns({c: F.left(c, F.lit(max_len)) for c in texts})
     fresh = first_by_key(rows, key, order).join(table.select(*key), key, "left_anti")
     for parent, parent_column, column in parents:
         ids = parent.select(F.col(parent_column).alias(column)).distinct()

@@ -16,6 +16,7 @@ from pagelode.operators.gates import recrawl_due
 from pagelode.operators.reach import reachable_pages
 from pagelode.sources.pages import list_rows
 from pagelode.streaming.gate import accepted_times, recrawl_gate
+from pagelode.streaming.seen import new_url_stream
 
 
 def values(df, *columns):
@@ -111,6 +112,38 @@ def test_insert_ignore(spark):
     assert values(added, "link_id", "url") == [(2, "c")]
 
 
+def test_insert_with_limited_width(spark):
+    table = spark.createDataFrame([("abc",)], "word STRING")
+    rows = spark.createDataFrame([("abcd", 0), ("xyz1", 1), ("xyz2", 2)], "word STRING, pos INT")
+    assert values(ma.insert_ignore(table, rows, ["word"], "pos", max_len=3), "word") == [("xyz",)]
+    assert ma.insert_ignore(table, rows, ["word"], "pos").count() == 3
+
+
+@pytest.mark.parametrize("within", [None, "1 hour"])
+def test_seen_urls_in_a_stream(spark, tmp_path, within):
+    folder, name = str(tmp_path / "in"), f"seen_{within is None}"
+    at = datetime(2024, 1, 1)
+    for part in (["a", "b", "a"], ["b", "c"]):
+        spark.createDataFrame([(u, at) for u in part], "url STRING, found_at TIMESTAMP").coalesce(
+            1
+        ).write.mode("append").parquet(folder)
+    stream = (
+        spark.readStream.schema("url STRING, found_at TIMESTAMP")
+        .option("maxFilesPerTrigger", 1)
+        .parquet(folder)
+    )
+    run = (
+        new_url_stream(stream, within)
+        .writeStream.format("memory")
+        .queryName(name)
+        .option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    run.awaitTermination()
+    assert values(spark.table(name), "url") == [("a",), ("b",), ("c",)]
+
+
 def test_upserts(spark):
     table = spark.createDataFrame([("u", "old")], "url STRING, title STRING")
     rows = spark.createDataFrame(
