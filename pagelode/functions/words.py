@@ -7,12 +7,12 @@ tests use literal sets, which Spark looks up by hash.
 from __future__ import annotations
 
 from functools import cache
+from importlib import resources
 
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The stop-word lists that ship with Spark.
+# Languages that have a list in the folder stopwords.
 LANGUAGES = (
     "danish",
     "dutch",
@@ -39,9 +39,9 @@ _WORD = r"(?<![\p{L}\p{N}\p{M}_])\p{L}++(?![\p{N}\p{M}_])"
 @cache
 def stop_words(language: str) -> tuple[str, ...]:
     """Stop words that can be a token; entries such as "don't" cannot."""
-    return tuple(
-        sorted({w.lower() for w in StopWordsRemover.loadDefaultStopWords(language) if w.isalpha()})
-    )
+    listed = resources.files(__package__).joinpath("stopwords", f"{language}.txt")
+    words = listed.read_text(encoding="utf-8").split("\n")
+    return tuple(sorted({w.lower() for w in words if w.isalpha()}))
 
 
 def alphabetic_words(text: Column) -> Column:

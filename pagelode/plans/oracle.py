@@ -6,25 +6,16 @@ expression or a literal set, plain subqueries where they use a stored index.
 
 from __future__ import annotations
 
-import zipfile
-from pathlib import Path
-
-import pyspark
+from functools import cache
 
+from pagelode.functions.words import LANGUAGES, stop_words
 from pagelode.plans.fixtures import NOW, SEARCHES, TTL_SECONDS
 
 
+@cache
 def _stop_rows() -> str:
-    """VALUES rows (lang, word), read from the lists in Spark's own archive."""
-    jar = next((Path(pyspark.__file__).parent / "jars").glob("spark-mllib_*.jar"))
-    rows = []
-    with zipfile.ZipFile(jar) as archive:
-        for name in archive.namelist():
-            if "/stopwords/" in name and name.endswith(".txt"):
-                lang = Path(name).stem
-                words = archive.read(name).decode("utf-8").split()
-                rows += sorted({(lang, w.lower()) for w in words if w.isalpha()})
-    return ", ".join(f"('{lang}', '{word}')" for lang, word in rows)
+    """VALUES rows (lang, word)."""
+    return ", ".join(f"('{lang}', '{word}')" for lang in LANGUAGES for word in stop_words(lang))
 
 
 def _decoded(x: str) -> str:
@@ -64,7 +55,7 @@ def _language(tokens: str) -> str:
 
 # Every name is a common table expression; each may use those before it.
 _CTES = {
-    "stops": f"select * from (values {_stop_rows()}) as v(lang, word)",
+    "stops": "select * from (values STOP_ROWS) as v(lang, word)",
     "doc": r"""select page_id as link_id, url, html,
         nullif(TITLE, '') as title,
         regexp_replace(TITLE || ' ' || BODY, '[\x00-\x1F\x7F-\x9F]+', ' ', 'g') as text
@@ -151,6 +142,7 @@ def _with(names: str, body: str, recursive: str = "") -> str:
     for name in names.split():
         add(name)
     ctes = [f"{name} as ({sql})" for name, sql in _CTES.items() if name in wanted]
+    ctes = [cte.replace("STOP_ROWS", _stop_rows()) for cte in ctes]
     if recursive:
         ctes.append(recursive)
     head = "with recursive " if recursive else "with "
@@ -269,7 +261,6 @@ def oracle_sql() -> dict[str, str]:
               where length(word) >= 4)""",
         ),
         "match_words": _with("dict", _MATCHED + _hit("word", "ther")),
-        "match_words_short": _with("dict", _MATCHED + _hit("word", "the")),
         "match_words_any": _with(
             "dict", _MATCHED + f"{_hit('word', 'erth')} or {_hit('word', 'lich')}"
         ),
@@ -354,7 +345,7 @@ def oracle_sql() -> dict[str, str]:
                 from accepted a join starts s on s.url = a.url
                 union
                 select h.link_id, w.level + 1 from walk w join hops h on h.link_id_from = w.link_id
-                where w.level < (select count(*) from accepted) and w.level < 40)""",
+                where w.level < (select count(*) from accepted))""",
         ),
         "mime_filter": _with("accepted", "select page_id, content_type from accepted"),
         "index_age": _with(

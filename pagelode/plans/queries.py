@@ -112,11 +112,6 @@ def match_words(spark: SparkSession, sf: str) -> DataFrame:
     return match.match_words(fx.document_dictionary(spark, sf), "ther")
 
 
-@query
-def match_words_short(spark: SparkSession, sf: str) -> DataFrame:
-    return match.match_words(fx.document_dictionary(spark, sf), "the")
-
-
 @query
 def match_words_any(spark: SparkSession, sf: str) -> DataFrame:
     return match.match_words(fx.document_dictionary(spark, sf), "erth lich the")

@@ -6,10 +6,11 @@ import pytest
 
 import __spark_entry__ as entry
 import compare
+from pagelode.plans import oracle
+from pagelode.plans.queries import REGISTERED as QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
