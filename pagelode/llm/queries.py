@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelode.llm import bpe, planes
+from pagelode.llm import bpe, minhash, mixing, planes, sharding, vectors
 from pagelode.session import scratch_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -34,6 +34,28 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+@query
+def op2_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Links and components of the embeddings of each label."""
+    return vectors.near_vectors(spark.read.parquet(f"{sf}/embeddings.parquet"), 0.93)
+
+
+@query
+def op3_mix(spark: SparkSession, sf: str) -> DataFrame:
+    """The mixed order of all documents, every source with the same weight."""
+    return mixing.mix_sources(_documents(spark, sf)).select("doc_id", "source", "mix_slot", "mix_place")
+
+
+@query
+def op4_shards(spark: SparkSession, sf: str) -> DataFrame:
+    return sharding.assign_shards(_documents(spark, sf), sharding.Ring(shards=40))
+
+
+@query
+def op5_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_duplicates(_documents(spark, sf), minhash.Settings(words=3, percent=85))
+
+
 @query
 def op8_token_planes(spark: SparkSession, sf: str) -> DataFrame:
     """Positions and digests of the ids, read back from the written planes."""
