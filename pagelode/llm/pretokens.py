@@ -15,8 +15,10 @@ import regex
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # The same with the classes of the standard library, which is faster.
 _FAST = r" ?[^\W\d_]+| ?\d+|'(?:s|t|re|ve|m|ll|d)| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
+# The ASCII characters on which the classes differ: white space for one of them only.
+_CONTROLS = "\x1c\x1d\x1e\x1f"
 # Entries of a worker's dictionary. A full one is emptied, which only costs time.
-WORDS = 600_000
+WORDS = 1_000_000
 
 
 @cache
@@ -35,7 +37,8 @@ def _patterns():
 
 def pre_tokens(text: str) -> list[str]:
     exact, fast, odd = _patterns()
-    return (exact if odd.search(text) else fast).findall(text)
+    plain = text.isascii() and not any(c in text for c in _CONTROLS)
+    return (fast if plain or not odd.search(text) else exact).findall(text)
 
 
 class WordIds(dict):
