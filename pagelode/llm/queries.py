@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelode.llm import bpe, minhash, mixing, planes, sharding, vectors
+from pagelode.llm import bpe, minhash, mixing, planes, sharding, vectors, warc
 from pagelode.session import scratch_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -56,6 +56,27 @@ def op5_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(_documents(spark, sf), minhash.Settings(words=3, percent=85))
 
 
+@query
+def op6_warc(spark: SparkSession, sf: str) -> DataFrame:
+    """Archive all pages and tell what the archives hold, read back."""
+    path = scratch_path(spark, "warc")
+    warc.write_archives(spark.read.parquet(f"{sf}/pages.parquet"), path)
+    return warc.read_archives(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+SQL["op6_warc"] = """
+    select page_id, cast(octet_length(encode(payload)) as bigint) as payload_bytes,
+      sha1(payload) as payload_digest,
+      case when first <> page_id then 'revisit' else 'response' end as record_type,
+      case when first <> page_id then first end as refers_to
+    from (select page_id, payload,
+        case when octet_length(encode(payload)) >= 1000
+          then max(page_id) over (partition by payload) else page_id end as first
+      from (select page_id, coalesce(html, '') as payload from pages))"""
+
+
 @query
 def op8_token_planes(spark: SparkSession, sf: str) -> DataFrame:
     """Positions and digests of the ids, read back from the written planes."""
