@@ -177,6 +177,8 @@ def _by_rarest(sets: DataFrame, part: DataFrame, percent: int) -> DataFrame:
     that reaches the threshold with a set that is no longer shares with it one
     of its first n - ceil(p * n) + 1, where p is the threshold, and that one is
     among the first m - ceil(2 * p / (1 + p) * m) + 1 of the shorter set's m.
+    What both hold after the first shared one bounds what they share in all; a
+    meeting below that bound is no such first one, or no pair.
     """
 
     def run(batches):
@@ -206,7 +208,8 @@ def _by_rarest(sets: DataFrame, part: DataFrame, percent: int) -> DataFrame:
     shorter = x.where(f"x_at <= x_n - ceil(2 * {percent} * x_n / (100 + {percent})) + 1")
     met = shorter.join(y, "shingle").where(
         f"""(x_n < y_n or x_n = y_n and x_node < y_node) and x_node <> y_node
-        and x_component <> y_component and 100 * x_n >= {percent} * y_n"""
+        and x_component <> y_component and 100 * x_n >= {percent} * y_n
+        and (100 + {percent}) * (1 + least(x_n - x_at, y_n - y_at)) >= {percent} * (x_n + y_n)"""
     )
     return met.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
 
@@ -268,7 +271,8 @@ def near_duplicates(
     )
     pairs = scratch.keep(few.union(many).distinct(), "pairs")
     asked = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = documents.join(asked, "doc_id").select(F.col("doc_id").alias("node"), "text")
+    # The same plan at every size: the texts are shuffled once, whatever is asked.
+    texts = documents.join(asked.hint("merge"), "doc_id").select(F.col("doc_id").alias("node"), "text")
     sets = scratch.keep(_sets(texts, settings.words), "sets")
     links = scratch.keep(_confirmed(pairs, sets, percent), "links")
     found = components(links, "a", "b", scratch, "stars")
