@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelode.llm import bpe, minhash, mixing, planes, sharding, vectors, warc
+from pagelode.llm import bpe, language, minhash, mixing, planes, quality, sharding, vectors, warc
 from pagelode.session import scratch_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -40,6 +40,24 @@ def op2_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.near_vectors(spark.read.parquet(f"{sf}/embeddings.parquet"), 0.93)
 
 
+SQL["op2_vectors"] = """
+    with recursive good as (
+      select vec_id, label, cast(embedding as double[]) as v from embeddings
+      where label is not null and embedding is not null
+        and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+        and len(list_filter(embedding, x -> x <> 0)) > 0),
+    link as (
+      select a.vec_id as a, b.vec_id as b from good a join good b
+        on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+      where list_cosine_similarity(a.v, b.v) >= 0.93),
+    walk as (
+      select vec_id, vec_id as other from embeddings
+      union select w.vec_id, l.b from walk w join link l on l.a = w.other)
+    select e.vec_id, (select count(*) from link where a = e.vec_id) as n_links,
+      min(w.other) as component_id, min(w.other) = e.vec_id as kept
+    from embeddings e join walk w on w.vec_id = e.vec_id group by e.vec_id"""
+
+
 @query
 def op3_mix(spark: SparkSession, sf: str) -> DataFrame:
     """The mixed order of all documents, every source with the same weight."""
@@ -77,6 +95,12 @@ SQL["op6_warc"] = """
       from (select page_id, coalesce(html, '') as payload from pages))"""
 
 
+@query
+def op7_language(spark: SparkSession, sf: str) -> DataFrame:
+    """The language of every document, learnt from those not held out."""
+    return language.identify_languages(_documents(spark, sf))
+
+
 @query
 def op8_token_planes(spark: SparkSession, sf: str) -> DataFrame:
     """Positions and digests of the ids, read back from the written planes."""
@@ -85,6 +109,13 @@ def op8_token_planes(spark: SparkSession, sf: str) -> DataFrame:
     return planes.read_documents(spark, path)
 
 
+@query
+def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Score and verdict of every document, from weak labels alone."""
+    docs = _documents(spark, sf)
+    return quality.score_quality(docs, quality.fit_quality(docs))
+
+
 @query
 def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Digests of the ids and of the decoded text of every document."""
