@@ -1,15 +1,96 @@
-"""The training-data pipeline over the table documents, as stages."""
+"""The training-data pipeline over the table documents.
+
+Each stage takes what the one before it kept and calls one operator:
+
+1. quality: a classifier from weak labels; documents it scores low go;
+2. language: documents without a letter go, and those whose declared language
+   another one beats by a clear margin;
+3. near_dedup: of each group of near-duplicates, five words and a similarity of
+   0.8, the document with the smallest id stays; so does one of repeated rows;
+4. mixing: sources are interleaved, with equal target weights; all documents
+   stay, and their order is that of the rows;
+5. tokens: the ids of every text.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pagelode.llm import bpe, language, minhash, mixing, quality
+from pagelode.llm.scratch import Scratch
+
+VOCABULARY = "byte_bpe_50k.json"
+MARGIN = 0.1
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """Each row as one column besides the columns an operator reads."""
+    return docs.select(F.struct(*docs.columns).alias("row"), "lang", "text")
+
+
+def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the classifier keeps; those without a word go."""
+    model = quality.fit_quality(docs)
+    scored = quality.score_quality(_packed(docs), model, keep=("row",))
+    return scored.where("kept").select("row.*")
+
+
+def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a letter whose declared language, if any, is not clearly another."""
+    prototypes = language.train_prototypes(docs)
+    found = language.predict_language(_packed(docs), prototypes, keep=("row", "lang"))
+    other = F.col("lang").isNotNull() & (F.col("lang") != F.col("lang_pred")) & (F.col("margin") >= MARGIN)
+    lettered = (F.col("lang_pred") != language.UNKNOWN) | F.lit(not prototypes)
+    return found.where(lettered & ~other).select("row.*")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates; rows with a null id stay."""
+    scratch = Scratch(spark, "pipeline-dedup")
+    found = minhash.near_duplicates(docs, minhash.Settings(words=5, percent=80), scratch=scratch)
+    told = found.where("doc_id is not null").groupBy("doc_id").agg(
+        F.first("kept").alias("kept"), F.count(F.lit(1)).alias("n")
+    )
+    told = scratch.keep(told.where("not kept or n > 1").select(F.col("doc_id").alias("told_id"), "kept"), "told")
+    joined = docs.join(told.hint("merge"), docs["doc_id"] == told["told_id"], "left")
+    once = joined.where("told_id is null").select(docs["*"])
+    # Rows that repeat an id: one of each text.
+    again = joined.where("kept").select(docs["*"]).dropDuplicates(["doc_id", "text"])
+    return once.union(again)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the mixed order of their sources."""
+    mixed = mixing.mix_sources(docs)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = mixed.repartitionByRange(parts, "mix_slot").sortWithinPartitions("mix_slot", "mix_place")
+    return ordered.select(*docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, n_tokens and ids of every document, in the order of the rows."""
+    return bpe.encode_documents(docs, VOCABULARY, keep=("doc_id", "lang", "source"))
+
+
+STAGES = [
+    ("quality", by_quality),
+    ("language", by_language),
+    ("near_dedup", near_dedup),
+    ("mixing", mix),
+    ("tokens", tokens),
+]
 
-STAGES: list = []
+# The classifier, the language profiles and the vocabulary have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over documents, each written to the shared folder for the next one."""
+    scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for at, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if at < len(STAGES) - 1:
+            docs = scratch.keep(docs, name)
     return docs

@@ -23,6 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from pagelode.llm.passing import passed
 from pagelode.llm.pretokens import WordIds
 
 _POSITION = (1 << 32) - 1
@@ -171,7 +172,6 @@ def encode_documents(
     extra = "ids_sha256 string, decoded_sha256 string" if summary else f"`{ids}` array<int>"
     rows = documents.select(*keep, documents[text].alias("_text"))
     kept = documents.select(*keep).schema
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
 
     def run(batches):
         coder = _codec(vocabulary, public)
@@ -202,7 +202,7 @@ def encode_documents(
                     names = [*part.schema.names[:-1], "n_tokens", ids]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return rows.mapInArrow(run, f"{schema}, n_tokens bigint, {extra}")
+    return rows.mapInArrow(run, passed(kept, f"n_tokens bigint, {extra}"))
 
 
 def decode_documents(
@@ -218,7 +218,6 @@ def decode_documents(
     Bytes that are no UTF-8 become U+FFFD; null ids give a null text.
     """
     kept = encoded.select(*keep).schema
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
 
     def run(batches):
         coder = _codec(vocabulary, public)
@@ -232,4 +231,4 @@ def decode_documents(
                     names=[*part.schema.names[:-1], "text"],
                 )
 
-    return encoded.select(*keep, encoded[ids].alias("_ids")).mapInArrow(run, f"{schema}, text string")
+    return encoded.select(*keep, encoded[ids].alias("_ids")).mapInArrow(run, passed(kept, "text string"))

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagelode.llm.passing import passed
+
 UNKNOWN = "und"
 SIZE = 512
 _BITS = 7
@@ -184,7 +186,6 @@ def predict_language(
     matrix = np.stack([prototypes[n] / (np.linalg.norm(prototypes[n]) or 1.0) for n in names]) if names else None
     rows = documents.select(*keep, documents[text].alias("_text"))
     kept = documents.select(*keep).schema
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
 
     def run(batches):
         for batch in batches:
@@ -205,7 +206,7 @@ def predict_language(
                 names=[*batch.schema.names[:-1], "lang_pred", "score", "margin"],
             )
 
-    return rows.mapInArrow(run, f"{schema}, lang_pred string, score double, margin double")
+    return rows.mapInArrow(run, passed(kept, "lang_pred string, score double, margin double"))
 
 
 def held_out(doc_id: Column) -> Column:

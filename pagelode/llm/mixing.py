@@ -27,7 +27,7 @@ from pyspark.sql.window import Window
 FRAME = 10_000
 BLOCK = 16
 # Documents of a source that are ranked in one task, about.
-_CELL = 100_000
+_CELL = 20_000
 
 
 def shares(weights: dict[str, float], frame: int) -> dict[str, int]:

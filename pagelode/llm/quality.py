@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagelode.llm.passing import passed
+
 # At most so many documents train the scorer, those with the smallest hashed id.
 SAMPLE = 20_000
 BUCKETS = 1 << 12
@@ -319,7 +321,6 @@ def score_quality(
     """
     scorer, threshold = model.scorer, model.threshold
     kept = documents.select(*keep).schema
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
 
     def run(batches):
         for batch in batches:
@@ -330,4 +331,4 @@ def score_quality(
             )
 
     rows = documents.select(*keep, documents[text].alias("_text"))
-    return rows.mapInArrow(run, f"{schema}, quality double, kept boolean")
+    return rows.mapInArrow(run, passed(kept, "quality double, kept boolean"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelode.llm import bpe, language, minhash, mixing, planes, quality, sharding, vectors, warc
+from pagelode.llm import bpe, edits, language, minhash, mixing, planes, quality, sharding, vectors, warc
 from pagelode.session import scratch_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -34,6 +34,12 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+@query
+def op1_edits(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprints of every document, of its edited text, and how alike they are."""
+    return edits.edit_fingerprints(_documents(spark, sf))
+
+
 @query
 def op2_vectors(spark: SparkSession, sf: str) -> DataFrame:
     """Links and components of the embeddings of each label."""
@@ -44,8 +50,8 @@ SQL["op2_vectors"] = """
     with recursive good as (
       select vec_id, label, cast(embedding as double[]) as v from embeddings
       where label is not null and embedding is not null
-        and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
-        and len(list_filter(embedding, x -> x <> 0)) > 0),
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        and len(list_filter(embedding, lambda x: x <> 0)) > 0),
     link as (
       select a.vec_id as a, b.vec_id as b from good a join good b
         on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
