@@ -53,10 +53,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         F.first("kept").alias("kept"), F.count(F.lit(1)).alias("n")
     )
     told = scratch.keep(told.where("not kept or n > 1").select(F.col("doc_id").alias("told_id"), "kept"), "told")
-    joined = docs.join(told.hint("merge"), docs["doc_id"] == told["told_id"], "left")
-    once = joined.where("told_id is null").select(docs["*"])
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
+    joined = rows.join(told.hint("merge"), rows["doc_id"] == told["told_id"], "left")
+    once = joined.where("told_id is null").select("row.*")
     # Rows that repeat an id: one of each text.
-    again = joined.where("kept").select(docs["*"]).dropDuplicates(["doc_id", "text"])
+    again = joined.where("kept").dropDuplicates(["doc_id", "text"]).select("row.*")
     return once.union(again)
 
 

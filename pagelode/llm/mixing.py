@@ -140,10 +140,15 @@ def mix_sources(
     spark = documents.sparkSession
     columns = [c for c in documents.columns if c not in ("mix_slot", "mix_place")]
     key = F.coalesce(F.concat(F.lit("s"), documents[source].cast("string")), F.lit(""))
-    rows = documents.select(*columns, key.alias("_source"), F.xxhash64(F.lit(seed), documents[doc_id]).alias("_hash"))
+    rows = documents.select(
+        F.struct(*columns).alias("_row"),
+        key.alias("_source"),
+        documents[doc_id].alias("_id"),
+        F.xxhash64(F.lit(seed), documents[doc_id]).alias("_hash"),
+    )
     counts = {r["_source"]: r["count"] for r in rows.groupBy("_source").count().collect()}
     if not counts:
-        return rows.select(*columns, F.lit(0).cast("bigint").alias("mix_slot"), F.lit(0).alias("mix_place"))
+        return rows.select("_row.*", F.lit(0).cast("bigint").alias("mix_slot"), F.lit(0).alias("mix_place"))
     given = {f"s{s}": w for s, w in (weights or {}).items() if w > 0}
     least = min(given.values(), default=1.0)
     phases = plan_phases(
@@ -158,7 +163,7 @@ def mix_sources(
         Window.partitionBy("_source").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     )
     sizes = sizes.select("_source", "_cell", F.coalesce(before, F.lit(0)).alias("_before"))
-    in_cell = Window.partitionBy("_source", "_cell").orderBy("_hash", doc_id)
+    in_cell = Window.partitionBy("_source", "_cell").orderBy("_hash", "_id")
     ranked = (
         rows.withColumn("_at", F.row_number().over(in_cell) - 1)
         .join(sizes, ["_source", "_cell"])
@@ -182,7 +187,7 @@ def mix_sources(
         "_slots", F.pmod(number, F.size("_slots")).cast("int")
     )
     return placed.select(
-        *columns,
+        "_row.*",
         slot.cast("bigint").alias("mix_slot"),
         F.pmod("_rank", F.lit(block)).cast("int").alias("mix_place"),
     )
