@@ -55,11 +55,12 @@ def _decode_piece(piece: Column) -> Column:
         F.try_element_at(_named_entities(), name),
         F.substring(piece, F.length(name) + 2, F.length(piece)),
     )
-    decimal = F.regexp_extract(piece, r"^#0*([0-9]{1,7})", 1)
-    hexa = F.regexp_extract(piece, r"^#[xX]0*([0-9a-fA-F]{1,6})", 1)
-    code = F.when(hexa != "", F.conv(hexa, 16, 10).cast("int")).when(
-        decimal != "", decimal.cast("int")
-    )
+    # All digits count: a number too long for a code point is out of range, like 0.
+    decimal = F.regexp_extract(piece, r"^#0*([0-9]+)", 1)
+    hexa = F.regexp_extract(piece, r"^#[xX]0*([0-9a-fA-F]+)", 1)
+    code = F.when(
+        hexa != "", F.when(F.length(hexa) > 6, 0).otherwise(F.conv(F.left(hexa, F.lit(6)), 16, 10).cast("int"))
+    ).when(decimal != "", F.when(F.length(decimal) > 7, 0).otherwise(F.left(decimal, F.lit(7)).cast("int")))
     valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
     char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
     numbered = F.when(

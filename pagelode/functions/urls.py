@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 _PARTS = r"(?s)^(?:([a-zA-Z][a-zA-Z0-9+.-]*):)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
 _SCHEME, _AUTHORITY, _PATH, _QUERY, _FRAGMENT = range(1, 6)
 
-# Link prefixes that lead to no page.
+# Link prefixes that lead to no page.
 SKIPPED_PREFIXES = ("tel", "javascript", "mailto", "webcal")
 
 
@@ -40,12 +40,17 @@ def host_suffixes(name: Column) -> Column:
 
 
 def valid_url(url: Column) -> Column:
-    """An http, https or ftp URL with a dotted host name, IPv4 or localhost."""
+    """An http, https or ftp URL with a dotted host name, IPv4 or localhost.
+
+    The numbers of an address go to 255, those of a port to 65535.
+    """
+    octet = r"(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
+    port = r"(?:6553[0-5]|655[0-2][0-9]|65[0-4][0-9]{2}|6[0-4][0-9]{3}|[0-5]?[0-9]{1,4})"
     label = r"[a-z0-9¡-￿](?:[a-z0-9¡-￿_-]{0,61}[a-z0-9¡-￿])?"
     pattern = (
         r"(?i)^(?:https?|ftp)://(?:[^\s/?#@]+@)?"
         rf"(?:localhost|(?:{label}\.)+[a-z¡-￿][a-z0-9¡-￿-]{{1,62}}"
-        r"|(?:[0-9]{1,3}\.){3}[0-9]{1,3})(?::[0-9]{1,5})?(?:[/?#]\S*)?$"
+        rf"|(?:{octet}\.){{3}}{octet})(?::{port})?(?:[/?#]\S*)?$"
     )
     return F.coalesce(url.rlike(pattern), F.lit(False))
 

@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 GRAM = 4
 
 # A term is an optional sign, score operators that do not change what matches,
-# and a quoted phrase or a run of other characters.
-_TERM = r'[+-]?[<>~(]*(?:"[^"]*"|[^\s"()]+)'
+# and a quoted phrase or a run of other characters. Terms are parted by Unicode
+# white space, spelled out as regular expressions differ on it.
+_SPACE = r"\t-\r \u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_TERM = rf'[+-]?[<>~(]*(?:"[^"]*"|[^{_SPACE}"()]+)'
 
 
 @dataclass(frozen=True)
@@ -133,7 +135,8 @@ def match_terms(
             )
         ).alias("gram"),
     )
-    if counts is None:
+    stored = counts is not None
+    if not stored:
         counts = gram_counts(
             grams.join(term_grams.select("gram").distinct(), "gram", "left_semi")
         )
@@ -150,13 +153,15 @@ def match_terms(
         .select("term", "prefix", "word")
     )
 
+    # Short prefix terms name the distinct grams they begin; words join on the gram.
+    known = counts if stored else grams.select("gram").distinct()
     heads = F.array(*[F.left("gram", F.lit(n)) for n in range(1, GRAM)])
-    by_prefix = (
-        grams.select(F.explode(heads).alias("term"), "word")
+    begun = (
+        known.select("gram", F.explode(heads).alias("term"))
         .join(wanted.where(F.col("prefix") & F.length("term").between(1, GRAM - 1)), "term")
-        .select("term", "prefix", "word")
-        .distinct()
+        .select("term", "prefix", "gram")
     )
+    by_prefix = grams.join(begun, "gram").select("term", "prefix", "word").distinct()
     return by_gram.unionByName(by_prefix)
 
 

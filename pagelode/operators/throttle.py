@@ -64,9 +64,11 @@ def _replay_slices(arrivals: DataFrame, ttl: int) -> DataFrame:
             before = accepted.where(F.col("slice") == at - 1).select(
                 "url", F.col("time").alias("_last")
             )
-            here = here.join(before, "url", "left").where(
+            before = before.withColumnRenamed("url", "_url")
+            here = here.join(before, F.col("url").eqNullSafe(F.col("_url")), "left").where(
                 F.col("_last").isNull() | (F.col("time") - F.col("_last") >= ttl)
             )
+            here = here.select("url", "time")
         here.groupBy("url").agg(F.min("time").alias("time")).write.parquet(f"{kept}/slice={at}")
         accepted = spark.read.schema(schema).parquet(kept)
     if accepted is None:
@@ -77,15 +79,18 @@ def _replay_slices(arrivals: DataFrame, ttl: int) -> DataFrame:
 def recrawl_throttle(arrivals: DataFrame, ttl: int, max_array: int = MAX_ARRAY) -> DataFrame:
     """Accepted (url, time) rows; ``time`` and ``ttl`` are whole microseconds.
 
-    Arrivals of one URL at the same microsecond are one arrival.
+    Arrivals of one URL at the same microsecond are one arrival. An arrival
+    without a time is none; all arrivals without a URL are those of one URL.
+    ``max_array`` chooses between two replays of the same rule and changes no row.
     """
+    log = arrivals.select("url", F.col("time").cast("bigint").alias("time")).where("time is not null")
     if ttl <= 0:
-        return arrivals.select("url", "time").distinct()
-    log = arrivals.select("url", F.col("time").cast("bigint").alias("time"))
+        return log.distinct()
     sizes = log.groupBy("url").agg(F.count(F.lit(1)).alias("_rows"))
-    hot = sizes.where(F.col("_rows") > max_array).select("url")
+    hot = sizes.where(F.col("_rows") > max_array).select(F.col("url").alias("_hot"))
     if hot.isEmpty():
         return _replay_arrays(log.distinct(), ttl)
-    return _replay_arrays(log.join(hot, "url", "left_anti").distinct(), ttl).unionByName(
-        _replay_slices(log.join(hot, "url", "left_semi"), ttl)
+    same = F.col("url").eqNullSafe(F.col("_hot"))
+    return _replay_arrays(log.join(hot, same, "left_anti").distinct(), ttl).unionByName(
+        _replay_slices(log.join(hot, same, "left_semi"), ttl)
     )

@@ -102,7 +102,10 @@ def index_batch(
     store.write_batch("link", links, batch_id)
     store.write_batch("wordrelation", postings, batch_id)
     store.write_batch("backlinks", edges, batch_id)
-    touched = ix.with_content(extracted).select("link_id", at.alias("indexed_at"))
+    # In replace mode a page that lost its content is touched too, so that its
+    # last version is the empty one.
+    seen = extracted if mode == "replace" else ix.with_content(extracted)
+    touched = seen.select("link_id", at.alias("indexed_at"))
     store.write_batch("touched", touched, batch_id)
     return ix.followed_links(extracted)
 

@@ -102,8 +102,10 @@ def page_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def document_words(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/documents.parquet").select(
-        "doc_id", words.alphabetic_words(F.col("text")).alias("words")
+    return ex.settled(
+        spark.read.parquet(f"{sf}/documents.parquet").select(
+            "doc_id", words.alphabetic_words(F.col("text")).alias("words")
+        )
     )
 
 

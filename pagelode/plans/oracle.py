@@ -395,7 +395,11 @@ def oracle_sql() -> dict[str, str]:
             "dict tok",
             "select word from dict where length(word) < 10 or word in (select word from tok)",
         ),
-        "seed_if_empty": f"select url from pages union all select {_HOST} from pages",
+        "seed_if_empty": _with(
+            "accepted",
+            f"""select 'empty' as before, url from pages union all select 'empty', {_HOST} from pages
+            union all select 'full', url from accepted""",
+        ),
         "scan_start_urls": _with("starts", "select id, url from starts"),
         "scan_allowed_domains": _with("domains", "select id, domain from domains"),
         "valid_start_urls": _with(

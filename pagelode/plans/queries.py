@@ -385,12 +385,16 @@ def delete_by_key(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def seed_if_empty(spark: SparkSession, sf: str) -> DataFrame:
+    """The setting over a table that turns out empty and over one that has rows."""
     pages = fx.typed_pages(spark, sf)
-    empty = pages.where(F.col("content_type") == "application/pdf").select("url")
+    full = gates.mime_filter(pages).select("url")
+    empty = pages.where(F.length("url") < 0).select("url")
     setting = pages.select(
         F.concat_ws(";", "url", F.lit(""), urls.host(F.col("url")), F.lit(" ")).alias("setting")
     )
-    return ma.seed_if_empty(empty, list_rows(setting, "setting", "url"))
+    defaults = list_rows(setting, "setting", "url")
+    seeded = ma.seed_if_empty(empty, defaults).select(F.lit("empty").alias("before"), "url")
+    return seeded.unionByName(ma.seed_if_empty(full, defaults).select(F.lit("full").alias("before"), "url"))
 
 
 @query

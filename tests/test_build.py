@@ -133,6 +133,16 @@ def test_replace_keeps_the_last_version(spark, tmp_path):
     assert ("apple", 1, 2) in posting_set(tables) and ("pear", 1, 1) not in posting_set(tables)
 
 
+def test_replace_forgets_a_page_that_lost_its_content(spark, tmp_path):
+    store = IndexStore(spark, str(tmp_path))
+    two = (page(1, "http://a.b/x", "pear"), page(2, "http://a.b/y", "plum"))
+    index_batch(store, frame(spark, *two), 0, DAY1, mode="replace")
+    index_batch(store, frame(spark, page(1, "http://a.b/x", "123", title=None)), 1, DAY2, mode="replace")
+    tables = store.tables(latest_only=True)
+    assert {r.link_id for r in tables.links.collect()} == {2}
+    assert {w for w, _, _ in posting_set(tables)} == {"plum", "apple"}
+
+
 def test_recent_pages_are_skipped(spark, tmp_path):
     store = IndexStore(spark, str(tmp_path / "s"))
     index_batch(store, frame(spark, *FIRST), 0, DAY1)

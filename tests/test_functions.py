@@ -142,3 +142,15 @@ def test_lemma_rules(column):
     assert column(words.german_lemma, "kindern", "frauen", "hauses", "haus", "lampen", "strasse") == [
         "kind", "frau", "haus", "haus", "lamp", "strass",
     ]
+
+
+def test_numbers_out_of_range_give_a_space(column):
+    long = "0" * 40
+    texts = ["&#10999990;", "&#x10FFFF0;", f"&#{long}65;", f"&#x{long}41;", "&#99999999999;x", "&#xD800;", "&#0;"]
+    assert column(html.decode_entities, *texts) == [" ", " ", "A", "A", " x", " ", " "]
+
+
+def test_addresses_and_ports_are_bounded(column):
+    good = ["http://255.0.10.1/", "http://1.1.1.1:65535/x", "http://a.bc:80"]
+    bad = ["http://999.1.1.1/", "http://256.1.1.1/", "http://a.bc:99999/", "http://1.1.1.1:65536"]
+    assert column(lambda c: urls.valid_url(c), *good, *bad) == [True] * 3 + [False] * 4

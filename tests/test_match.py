@@ -64,6 +64,7 @@ def test_many_queries_equal_single_queries(spark):
 
 def test_terms_of_both_forms_agree(spark):
     asked = ['+a -"b c" d* <e> ~f (g h)', '""', "+-x", "Ab  cD"]
+    asked += ["ther\u00a0lich", "ther\u3000lich\u2028sc*", "a\u0085b\x0bc\x1fd", "İSTANBUL ΟΔΟΣ ΣΑΣ"]
     queries = spark.createDataFrame(list(enumerate(asked)), "query_id INT, query STRING")
     rows = match.explode_terms(queries, ["query_id"]).orderBy("query_id", "term_no").collect()
     for i, query in enumerate(asked):

@@ -55,6 +55,15 @@ def test_throttle_equals_brute_force(spark, max_array):
     assert values(th.recrawl_throttle(arrivals, 40, max_array), "url", "time") == want
 
 
+@pytest.mark.parametrize("max_array", [0, 1, 3, 10_000])
+def test_throttle_null_rule(spark, max_array):
+    log = [("a", 0), ("a", None), ("a", 5), ("a", 50), (None, 3), (None, 10), (None, 60), (None, None), ("b", None)]
+    arrivals = spark.createDataFrame(log, "url STRING, time BIGINT")
+    got = {(r.url, r.time) for r in th.recrawl_throttle(arrivals, 40, max_array).collect()}
+    assert got == {("a", 0), ("a", 50), (None, 3), (None, 60)}
+    assert th.recrawl_throttle(arrivals, 0, max_array).count() == 6
+
+
 def test_streamed_gate_equals_replay(spark, tmp_path):
     rng = random.Random(3)
     folder = str(tmp_path / "in")
