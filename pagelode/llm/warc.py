@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import zlib
 
 import pyarrow as pa
@@ -145,32 +146,41 @@ def write_archives(
         pages[url].cast("string").alias("url"),
         F.encode(F.coalesce(pages[html], F.lit("")), "UTF-8").alias("payload"),
     ).withColumn("digest", F.sha1("payload"))
-    long = (F.octet_length("payload") >= least_revisit) & F.col("page_id").isNotNull()
+    # What each (page, payload) becomes, without the payloads; then one join brings
+    # them together, by a key that is never hot.
+    narrow = rows.select("page_id", "digest", F.octet_length("payload").alias("length"))
+    kinds = narrow.groupBy("page_id", "digest").agg(F.count(F.lit(1)).alias("n"), F.max("length").alias("length"))
+    long = (F.col("length") >= least_revisit) & F.col("page_id").isNotNull()
     first = (
-        rows.where(long)
+        kinds.where(long)
         .groupBy("digest")
-        .agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .select(F.col("digest").alias("same"), "first")
+        .agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("pages"))
+        .where("pages > 1")
+        .select("digest", "first")
     )
-    repeated = (
-        rows.groupBy("page_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("page_id").alias("again"))
-    )
-    number = F.when(
-        F.col("again").isNotNull() | F.col("page_id").isNull(),
-        F.concat(F.lit(":"), F.monotonically_increasing_id().cast("string")),
-    ).otherwise("")
+    repeated = narrow.groupBy("page_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1 or page_id is null")
     told = (
-        rows.join(first, long & (F.col("digest") == F.col("same")), "left")
-        .join(repeated, F.col("page_id") == F.col("again"), "left")
+        kinds.join(first, "digest", "left")
+        .join(repeated.select(F.col("page_id").alias("again"), "rows"), F.col("page_id").eqNullSafe(F.col("again")), "left")
         .select(
-            F.concat(F.lit(_ID), F.coalesce(F.col("page_id").cast("string"), F.lit("null")), number).alias("record_id"),
-            "url",
-            "payload",
-            "digest",
-            F.when(F.col("first") != F.col("page_id"), F.col("first")).alias("refers_to"),
+            F.col("page_id").alias("id"),
+            F.col("digest").alias("same"),
+            F.when(long & (F.col("first") != F.col("page_id")), F.col("first")).alias("refers_to"),
+            F.col("rows").isNotNull().alias("numbered"),
         )
     )
+    number = F.when(
+        F.col("numbered"), F.concat(F.lit(":"), F.monotonically_increasing_id().cast("string"))
+    ).otherwise("")
+    told = rows.join(
+        told.hint("merge"), F.col("page_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("same"))
+    ).select(
+        F.concat(F.lit(_ID), F.coalesce(F.col("page_id").cast("string"), F.lit("null")), number).alias("record_id"),
+        "url",
+        "payload",
+        "digest",
+        "refers_to",
+    )
 
     def run(batches):
         for batch in batches:
@@ -271,23 +281,22 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """
     files = spark.read.format("binaryFile").load(path).select("content")
 
-    def parse(segmented: bool):
-        def run(batches):
-            for batch in batches:
-                for content in batch.column(0):
-                    found = []
-                    for fields, block in parse_records(content.as_py()):
-                        if ("warc-segment-number" in fields) == segmented:
-                            found.append(_parsed(fields, block))
-                            if len(found) == 256:
-                                yield _rows(found, _PARSED_ARROW)
-                                found = []
-                    if found:
-                        yield _rows(found, _PARSED_ARROW)
-
-        return files.mapInArrow(run, _PARSED)
-
-    parts = parse(True)
+    def taken(batches, segmented: bool):
+        for batch in batches:
+            for content in batch.column(0):
+                for fields, block in parse_records(content.as_py()):
+                    if ("warc-segment-number" in fields) == segmented:
+                        yield _parsed(fields, block)
+
+    def segments(batches):
+        for some in itertools.batched(taken(batches, True), 64):
+            yield _rows(some, _PARSED_ARROW)
+
+    def whole(batches):
+        for some in itertools.batched(taken(batches, False), 64):
+            yield _rows([_decoded(*r) for r in some], _READ_ARROW)
+
+    parts = files.mapInArrow(segments, _PARSED)
     # Records of 16 KiB and less, in the order of their numbers.
     joined = (
         parts.groupBy("record_id")
@@ -313,25 +322,26 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
     def decode(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                found = []
-                for r in batch.slice(at, 256).to_pylist():
-                    payload, length, digest, complete = None, r["length"], r["told"], True
-                    if r["record_type"] != "revisit":
-                        try:
-                            payload = http_payload(r["block"]) if r["total"] != -1 else None
-                        except ValueError:
-                            payload = None
-                        if payload is not None:
-                            length, digest = len(payload), hashlib.sha1(payload).hexdigest()
-                        complete = payload is not None and r["told"] in (None, digest)
-                        payload = payload if complete else None
-                    found.append(
-                        (r["record_id"][1:-1], r["page_id"], r["record_type"], r["refers_to"], length, digest, complete, payload)
-                    )
-                yield _rows(found, _READ_ARROW)
-
-    return parse(False).union(joined).mapInArrow(decode, _READ)
+            for at in range(0, batch.num_rows, 64):
+                rows = batch.slice(at, 64).to_pylist()
+                yield _rows([_decoded(*r.values()) for r in rows], _READ_ARROW)
+
+    return files.mapInArrow(whole, _READ).union(joined.mapInArrow(decode, _READ))
+
+
+def _decoded(record_id, page_id, record_type, refers_to, told, length, segment, total, block) -> tuple:
+    """A logical record as a result row; ``total`` is -1 if its segments do not add up."""
+    payload, digest, complete = None, told, True
+    if record_type != "revisit":
+        try:
+            payload = http_payload(block) if total != -1 else None
+        except ValueError:
+            payload = None
+        if payload is not None:
+            length, digest = len(payload), hashlib.sha1(payload).hexdigest()
+        complete = payload is not None and told in (None, digest)
+        payload = payload if complete else None
+    return record_id[1:-1], page_id, record_type, refers_to, length, digest, complete, payload
 
 
 _READ = """record_id STRING, page_id BIGINT, record_type STRING, refers_to BIGINT,
@@ -350,7 +360,7 @@ _READ_ARROW = pa.schema(
 )
 
 
-def _rows(found: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+def _rows(found, schema: pa.Schema) -> pa.RecordBatch:
     columns = zip(*found, strict=True)
     return pa.RecordBatch.from_arrays(
         [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
