@@ -9,6 +9,7 @@ Both give the same words.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -112,12 +113,16 @@ def gram_counts(grams: DataFrame) -> DataFrame:
 
 
 def match_terms(
-    terms: DataFrame, grams: DataFrame, counts: DataFrame | None = None
+    terms: DataFrame,
+    grams: DataFrame,
+    counts: DataFrame | None = None,
+    prune: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(term, prefix, word) for distinct (term, prefix) rows.
 
     ``counts`` is the stored ``gram_counts`` of ``grams``; without it the grams
-    of the terms are counted here.
+    of the terms are counted here. ``prune`` gives, for a table of the grams
+    that are needed, the part of ``grams`` that can hold them.
 
     A long term joins on its rarest gram alone: every word with the term has
     that gram, and ``contains`` then keeps exactly the right ones. A term with
@@ -147,12 +152,6 @@ def match_terms(
         .where(F.col("_best.n") > 0)
         .select("term", "prefix", F.col("_best.gram").alias("gram"))
     )
-    by_gram = (
-        grams.join(rarest, "gram")
-        .where(F.contains("word", "term"))
-        .select("term", "prefix", "word")
-    )
-
     # Short prefix terms name the distinct grams they begin; words join on the gram.
     known = counts if stored else grams.select("gram").distinct()
     heads = F.array(*[F.left("gram", F.lit(n)) for n in range(1, GRAM)])
@@ -161,6 +160,13 @@ def match_terms(
         .join(wanted.where(F.col("prefix") & F.length("term").between(1, GRAM - 1)), "term")
         .select("term", "prefix", "gram")
     )
+    if prune is not None:
+        grams = prune(rarest.select("gram").union(begun.select("gram")))
+    by_gram = (
+        grams.join(rarest, "gram")
+        .where(F.contains("word", "term"))
+        .select("term", "prefix", "word")
+    )
     by_prefix = grams.join(begun, "gram").select("term", "prefix", "word").distinct()
     return by_gram.unionByName(by_prefix)
 
@@ -171,6 +177,7 @@ def match_queries(
     keys: list[str],
     query: str = "query",
     counts: DataFrame | None = None,
+    prune: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(keys, word): the dictionary words that match each query of a table."""
     terms = explode_terms(queries, keys, query)
@@ -178,7 +185,7 @@ def match_queries(
         F.count_if(F.col("role") == "must").alias("_musts")
     )
     hits = (
-        terms.join(match_terms(terms, grams, counts), ["term", "prefix"])
+        terms.join(match_terms(terms, grams, counts, prune), ["term", "prefix"])
         .groupBy(*keys, "word")
         .agg(
             *[F.count_if(F.col("role") == r).alias(f"_{r}") for r in ("any", "must", "not")]

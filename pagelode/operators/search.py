@@ -17,21 +17,22 @@ from pagelode.session import materialize
 # Larger sets join instead, so no result depends on these bounds.
 MAX_PRUNING_WORDS = 5_000
 MAX_PRUNING_ROWS = 1_000
-# Largest rank limit Spark applies before the shuffle of a window.
-PRE_SHUFFLE_RANKS = 1_000
+# Slices of a query's hits that are counted, ranked and cut apart from each other.
+SLICES = 64
 
 
 @dataclass(frozen=True)
 class SearchIndex:
-    """What search reads. Postings carry their page's score inputs, so ranking
-    needs no join with the links; only rows of the result look up their URL.
+    """What search reads. Postings carry their page's score inputs and its URL,
+    so ranks, and the order of equal or missing ones, need no join with the
+    links; only rows of the result look up their title.
 
     ``buckets`` is set for stored tables, which are partitioned by the hash of
     their key: postings by word, grams by gram, links by link_id.
     """
 
     links: DataFrame  # link_id, url, language, title, page_length, inlinks
-    postings: DataFrame  # word, link_id, weight, language, page_length, inlinks
+    postings: DataFrame  # word, link_id, weight, language, page_length, inlinks, url
     words: DataFrame  # word
     grams: DataFrame  # gram, word
     gram_counts: DataFrame  # gram, words
@@ -55,13 +56,13 @@ def search_index(tables: ix.IndexTables) -> SearchIndex:
         )
         .select("link_id", "url", "language", "title", "page_length", "inlinks")
     )
-    scored = links.select("link_id", "language", "page_length", "inlinks")
+    scored = links.select("link_id", "language", "page_length", "inlinks", "url")
     words = ix.dictionary(tables.postings)
     grams = match.word_grams(words)
     return SearchIndex(
         links=links,
         postings=tables.postings.join(scored, "link_id").select(
-            "word", "link_id", "weight", "language", "page_length", "inlinks"
+            "word", "link_id", "weight", "language", "page_length", "inlinks", "url"
         ),
         words=words,
         grams=grams,
@@ -136,7 +137,7 @@ def _collapse(ranked: DataFrame, keys: list[str], how: str | None) -> DataFrame:
     if how is None:
         return ranked
     agg = {"max": F.max, "sum": F.sum}[how]
-    return ranked.groupBy(*keys, "link_id").agg(
+    return ranked.groupBy(*keys, "link_id", "url").agg(
         F.min("word").alias("word"), agg("rank").alias("rank")
     )
 
@@ -145,9 +146,9 @@ def _order() -> list[Column]:
     return [F.col("rank").desc_nulls_last(), F.col("url").asc(), F.col("word").asc()]
 
 
-def _with_urls(index: SearchIndex, candidates: DataFrame) -> DataFrame:
-    """Adds url and title to result rows; few rows read only their buckets."""
-    links = index.links.select("link_id", "url", "title", *(["bucket"] if index.buckets else []))
+def _with_titles(index: SearchIndex, candidates: DataFrame) -> DataFrame:
+    """Adds the title to result rows; few rows read only their buckets."""
+    links = index.links.select("link_id", "title", *(["bucket"] if index.buckets else []))
     if not index.buckets:
         return candidates.join(links, "link_id")
     placed = candidates.withColumn("bucket", _bucket(index, "link_id"))
@@ -174,9 +175,8 @@ def search(
     the rank is NULL. ``missing_backlinks="zero"`` and ``collapse`` ("max" or
     "sum", one row per URL) change that. A page below 1 is page 1.
 
-    The postings alone decide which ranks reach the page, so titles and URLs
-    are looked up for those rows only. Rows that tie with the last one stay
-    in until the URL decides.
+    The postings alone decide which rows come up to the end of the page, so
+    titles are looked up for those only.
     """
     wanted = max(page, 1) * limit
     found = hits(index, query, language)
@@ -184,20 +184,16 @@ def search(
     ranked = _collapse(
         found.select(
             "link_id",
+            "url",
             "word",
             _rank_column(index, hit_pages, F.lit(weight_tfidf), missing_backlinks).alias("rank"),
         ),
         [],
         collapse,
     )
-    top = ranked.orderBy(F.col("rank").desc_nulls_last()).limit(wanted)
-    # NULL when fewer than ``wanted`` rows have a rank: then every row stays.
-    last = top.agg(
-        F.when(F.count("rank") == wanted, F.min("rank")).alias("last")
-    ).scalar()
-    candidates = ranked.where(F.coalesce(F.col("rank") >= last, last.isNull()))
+    rows = ranked.orderBy(*_order()).limit(wanted)
     return (
-        _with_urls(index, candidates)
+        _with_titles(index, rows)
         .select("title", "url", "rank", "word")
         .orderBy(*_order())
         .offset(wanted - limit)
@@ -205,6 +201,12 @@ def search(
     )
 
 
+def grams_of(index: SearchIndex, needed: DataFrame) -> DataFrame:
+    """The buckets of the stored grams that can hold the needed ones."""
+    found = {row.bucket for row in needed.select(_bucket(index, "gram")).distinct().collect()}
+    return index.grams.where(_is_in("bucket", found))
+
+
 def query_hits(index: SearchIndex, queries: DataFrame) -> DataFrame:
     """Postings each query of a table hits; empty queries hit nothing.
 
@@ -215,7 +217,13 @@ def query_hits(index: SearchIndex, queries: DataFrame) -> DataFrame:
     that fills a third of the postings is split by the skew join.
     """
     asked = queries.where(F.col("query") != "")
-    matched = match.match_queries(asked, index.grams, ["query_id"], counts=index.gram_counts)
+    matched = match.match_queries(
+        asked,
+        index.grams,
+        ["query_id"],
+        counts=index.gram_counts,
+        prune=(lambda needed: grams_of(index, needed)) if index.buckets else None,
+    )
     terms = matched.join(
         asked.select("query_id", F.col("language").alias("_language"), "weight_tfidf"), "query_id"
     )
@@ -236,50 +244,56 @@ def search_batch(
     missing_backlinks: str = "null",
     collapse: str | None = None,
 ) -> DataFrame:
-    """The page of results of every query: (query_id, pos, title, url, rank, word).
+    """The page of results of every query: (query_id, pos, title, url, rank, word)."""
+    rows = _batch_rows(index, queries, max(page, 1) * limit, limit, missing_backlinks, collapse)
+    return _with_titles(index, rows).select("query_id", "pos", "title", "url", "rank", "word")
 
-    Pages hit are counted by (query, page) first, so a query with a third of
-    all hits is spread over the shuffle. The rank cut happens in the map tasks
-    before rows of one query meet; ties with the last row stay until the URL
-    decides.
+
+def _batch_rows(
+    index: SearchIndex,
+    queries: DataFrame,
+    wanted: int,
+    limit: int,
+    missing_backlinks: str,
+    collapse: str | None,
+) -> DataFrame:
+    """The last ``limit`` of the first ``wanted`` rows of every query, without titles.
+
+    The hits are written once; counting and ranking read them. Both take each
+    query in slices by page, so that a query with a third of all hits is many
+    tasks, and only the rows a slice can add to the result leave it.
     """
-    wanted = max(page, 1) * limit
-    found = query_hits(index, queries)
+    found = materialize(
+        query_hits(index, queries).withColumn("_slice", F.pmod(F.xxhash64("link_id"), F.lit(SLICES))),
+        "hits",
+    )
+    # Per slice the pages are counted exactly, as a page lies in one slice.
     hit_pages = (
-        found.select("query_id", "link_id")
-        .distinct()
+        found.groupBy("query_id", "_slice", "link_id")
+        .agg(F.lit(1).alias("one"))
         .groupBy("query_id")
-        .agg(F.count(F.lit(1)).alias("_hit_pages"))
+        .agg(F.count("one").alias("_hit_pages"))
+        .withColumn("_slice", F.explode(F.expr(f"sequence(0L, {SLICES - 1}L)")))
     )
     ranked = _collapse(
-        found.join(hit_pages, "query_id").select(
+        found.join(hit_pages, ["query_id", "_slice"]).select(
             "query_id",
+            "_slice",
             "link_id",
+            "url",
             "word",
             _rank_column(
                 index, F.col("_hit_pages"), F.col("weight_tfidf"), missing_backlinks
             ).alias("rank"),
         ),
-        ["query_id"],
+        ["query_id", "_slice"],
         collapse,
     )
-    by_rank = F.col("rank").desc_nulls_last()
-    if wanted > PRE_SHUFFLE_RANKS:
-        # Spark cuts no such depth on the map side; cut in slices of the query.
-        ranked = ranked.withColumn("_slice", F.pmod(F.xxhash64("link_id", "word"), F.lit(256)))
-        sliced = Window.partitionBy("query_id", "_slice").orderBy(by_rank)
-        ranked = ranked.withColumn("_place", F.rank().over(sliced)).where(
-            F.col("_place") <= wanted
-        )
-    placed = ranked.withColumn(
-        "_place", F.rank().over(Window.partitionBy("query_id").orderBy(by_rank))
-    ).where(F.col("_place") <= wanted)
+    sliced = Window.partitionBy("query_id", "_slice").orderBy(*_order())
+    cut = ranked.withColumn("_place", F.row_number().over(sliced)).where(F.col("_place") <= wanted)
     ordered = Window.partitionBy("query_id").orderBy(*_order())
-    rows = placed.select("query_id", "link_id", "word", "rank")
     return (
-        _with_urls(index, rows)
-        .withColumn("pos", F.row_number().over(ordered))
-        .where(F.col("pos") <= wanted)
-        .where(F.col("pos") > wanted - limit)
-        .select("query_id", "pos", "title", "url", "rank", "word")
+        cut.withColumn("pos", F.row_number().over(ordered))
+        .where((F.col("pos") <= wanted) & (F.col("pos") > wanted - limit))
+        .select("query_id", "pos", "link_id", "url", "rank", "word")
     )

@@ -24,7 +24,7 @@ SEARCH = {
     ),
     "postings": (
         "word STRING, link_id BIGINT, weight BIGINT, language STRING, page_length BIGINT, "
-        "inlinks BIGINT, bucket INT"
+        "inlinks BIGINT, url STRING, bucket INT"
     ),
     "words": "word STRING",
     "grams": "gram STRING, word STRING, bucket INT",

@@ -103,10 +103,10 @@ class IndexStore:
 
         lazy = se.search_index(tables)
         links = clustered(lazy.links, "links", "link_id")
-        scored = links.select("link_id", "language", "page_length", "inlinks")
+        scored = links.select("link_id", "language", "page_length", "inlinks", "url")
         postings = clustered(
             tables.postings.join(scored, "link_id").select(
-                "word", "link_id", "weight", "language", "page_length", "inlinks"
+                "word", "link_id", "weight", "language", "page_length", "inlinks", "url"
             ),
             "postings",
             "word",

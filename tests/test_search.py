@@ -138,3 +138,24 @@ def test_ties_across_the_page_edge(spark):
     index = se.search_index(tables(spark, links, postings, [(1, "gone"), (2, "gone")]))
     got = [r[0] for p in (1, 2, 3) for r in rows(se.search(index, "word", "english", page=p, limit=7))]
     assert got == [f"u{i:02d}" for i in range(20)]
+
+
+def test_a_query_is_never_one_task_of_raw_hits(spark, stored):
+    queries = spark.createDataFrame(
+        [(1, "sear", "english", 0.6)], "query_id BIGINT, query STRING, language STRING, weight_tfidf DOUBLE"
+    )
+    rows = se._batch_rows(stored, queries, 2, 2, "null", None)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x]
+    sliced = [x for x in shuffles if "hashpartitioning(query_id#" in x and "_slice" in x]
+    alone = [x for x in shuffles if "hashpartitioning(query_id#" in x and "_slice" not in x]
+    # By the query alone go partial counts, and rows that passed the cut of a slice.
+    assert sliced and len(alone) == 2
+    assert plan.index("Window [row_number()") < plan.index(alone[-1].strip()[:40])
+    assert "postings" not in plan and plan.count("FileScan") == 2
+
+
+def test_grams_are_read_by_bucket(spark, stored):
+    needed = spark.createDataFrame([("sear",)], "gram STRING")
+    plan = se.grams_of(stored, needed)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
