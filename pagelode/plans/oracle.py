@@ -429,6 +429,16 @@ def oracle_sql() -> dict[str, str]:
             from typed left join link on link_id = page_id group by 1""",
         ),
         "stream_index": _with("link", "select link_id, url, language, title from link"),
+        "reindex_keep_first": _with(
+            "wr accepted",
+            "select word, link_id, weight from wr union all select 'zzzq', page_id, 1 from accepted",
+        ),
+        "reindex_replace": _with(
+            "wr accepted",
+            """select word, link_id, weight from wr union all select 'zzzq', page_id, 1
+            from pages where page_id not in (select page_id from accepted)""",
+        ),
+        "new_url_stream": _with("outl", "select distinct url_to as url from outl"),
         "fold_words": _with(
             "dict",
             """select min(word) as word, count(*) as variants from dict

@@ -22,6 +22,7 @@ from pagelode.session import materialize, scratch_path
 from pagelode.sources.pages import list_rows
 from pagelode.sources.store import IndexStore
 from pagelode.streaming.index_stream import stream_index as start_stream
+from pagelode.streaming.seen import new_url_stream as first_rows
 
 REGISTERED = {}
 
@@ -465,3 +466,47 @@ def stream_index(spark: SparkSession, sf: str) -> DataFrame:
     run.awaitTermination()
     store = IndexStore(spark, f"{path}/store")
     return store.link().select("link_id", "url", "language", "title")
+
+
+def _reindexed(spark: SparkSession, sf: str, first: DataFrame, second: DataFrame, mode: str) -> IndexStore:
+    """Two batches, the second with the pages as given; the first adds a word to each."""
+    store = IndexStore(spark, scratch_path(spark, "reindex"))
+    added = first.withColumn("html", F.concat("html", F.lit("<p>zzzq</p>")))
+    for batch_id, batch in enumerate((added, second)):
+        build.index_batch(store, batch, batch_id, F.to_timestamp(F.lit(fx.NOW)), mode=mode)
+    return store
+
+
+@query
+def reindex_keep_first(spark: SparkSession, sf: str) -> DataFrame:
+    """Postings after HTML pages with one more word were indexed, then all pages: none is lost."""
+    html_pages = gates.mime_filter(fx.typed_pages(spark, sf)).select("page_id", "url", "html")
+    store = _reindexed(spark, sf, html_pages, fx.pages(spark, sf), "keep_first")
+    return store.tables().postings.select("word", "link_id", "weight")
+
+
+@query
+def reindex_replace(spark: SparkSession, sf: str) -> DataFrame:
+    """Postings after all pages with one more word were indexed, then HTML pages: the last version."""
+    html_pages = gates.mime_filter(fx.typed_pages(spark, sf)).select("page_id", "url", "html")
+    store = _reindexed(spark, sf, fx.pages(spark, sf), html_pages, "replace")
+    return store.tables(latest_only=True).postings.select("word", "link_id", "weight")
+
+
+@query
+def new_url_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The first row of every link target, over a stream of several micro-batches."""
+    path = scratch_path(spark, "seen")
+    found = ex.page_links(fx.pages(spark, sf)).select(F.col("url_to").alias("url"))
+    found.repartition(6).write.parquet(f"{path}/in")
+    stream = spark.readStream.schema("url STRING").option("maxFilesPerTrigger", 2).parquet(f"{path}/in")
+    run = (
+        first_rows(stream)
+        .writeStream.format("parquet")
+        .option("path", f"{path}/out")
+        .option("checkpointLocation", f"{path}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    run.awaitTermination()
+    return spark.read.schema("url STRING").parquet(f"{path}/out")

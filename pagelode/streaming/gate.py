@@ -27,8 +27,7 @@ def recrawl_gate(arrivals: DataFrame, ttl: int) -> DataFrame:
 
     The state is the last accept per URL. A batch's arrivals are taken in time
     order; one older than the last accept is within the time to live and is
-    dropped. Only distinct times travel to the state, as repeats cannot add an
-    accept.
+    dropped. All arrivals of a URL in a batch are one group, so bound the batch.
     """
 
     def gate(
