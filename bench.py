@@ -13,7 +13,7 @@ from pagelode.session import build_session
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 HEADLINE = [
     "search",
     "search_batch",
@@ -25,6 +25,8 @@ HEADLINE = [
     "match_by_ngrams",
     "reachable_pages",
     "recrawl_throttle",
+    "postings_by_word",
+    "stream_index",
 ]
 
 
@@ -49,7 +51,9 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     fx.index(spark, FOLDER)
-    seconds = {"store_build": timed(lambda: fx.build_index(spark, FOLDER))}
+    seconds = {
+        "store_build": statistics.median(timed(lambda: fx.build_index(spark, FOLDER)) for _ in range(RUNS))
+    }
     for name in HEADLINE:
         run = lambda: drain(REGISTERED[name](spark, FOLDER))  # noqa: B023, E731
         run()

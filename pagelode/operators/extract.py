@@ -155,13 +155,20 @@ def page_links(pages: DataFrame) -> DataFrame:
     )
 
 
-def extract(pages: DataFrame, languages=words.LANGUAGES, lemmatise: bool = True) -> DataFrame:
+def extract(
+    pages: DataFrame, languages=words.LANGUAGES, lemmatise: bool = True, links: bool = True
+) -> DataFrame:
     """(link_id, url, title, language, words, targets): all a page contributes.
 
     One pass over the page, so that the stages that need it read this narrow
     result and never the HTML again. With ``lemmatise=False`` the words stay
-    surface forms, for a lemma table to replace later.
+    surface forms, for a lemma table to replace later. With ``links=False``
+    there are no ``targets``, and links are not looked for.
     """
+    if not links:
+        worded = _content(_language(_words(page_text(pages)), languages))
+        done = _lemmas(worded) if lemmatise else worded
+        return settled(done.select("link_id", "url", "title", "language", "words"))
     staged = pages.select(
         F.col("page_id").alias("link_id"),
         "url",

@@ -114,7 +114,8 @@ def document_dictionary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def extracted(spark: SparkSession, sf: str) -> DataFrame:
-    return ex.extract(pages(spark, sf))
+    """What the words of all pages give; links are left out."""
+    return ex.extract(pages(spark, sf), links=False)
 
 
 def postings(spark: SparkSession, sf: str) -> DataFrame:

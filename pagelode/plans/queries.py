@@ -66,7 +66,7 @@ def content_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def lemmas(spark: SparkSession, sf: str) -> DataFrame:
-    surface = ex.extract(fx.pages(spark, sf), lemmatise=False)
+    surface = ex.extract(fx.pages(spark, sf), lemmatise=False, links=False)
     return ix.term_frequency(surface, fx.lemma_table(spark, sf))
 
 
@@ -449,7 +449,7 @@ def index_stats(spark: SparkSession, sf: str) -> DataFrame:
         F.col("page_id").alias("link_id"),
         F.when(passed, "passed").otherwise("content_type").alias("verdict"),
     )
-    return ix.index_outcomes(gated, ex.extract(gates.mime_filter(pages)))
+    return ix.index_outcomes(gated, ex.extract(gates.mime_filter(pages), links=False))
 
 
 @query
