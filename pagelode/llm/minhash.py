@@ -296,6 +296,7 @@ def near_duplicates(
     joined = scratch.keep(
         components(links.union(more).union(copies), "a", "b", scratch, "all"), "joined"
     )
+    scratch.drop("same", "bands", "pairs", "sets", "links", "open", "more")
     named = joined.select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
     return (
         every.select("doc_id", "n_shingles")

@@ -20,6 +20,7 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, name: str) -> None:
-        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+    def drop(self, *names: str) -> None:
+        for name in names:
+            target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+            target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)

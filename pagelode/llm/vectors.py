@@ -214,6 +214,7 @@ def near_vectors(
     copies = member.where("vec_id <> node").select(F.col("node").alias("a"), F.col("vec_id").alias("b"))
     edges = found.where("a <> b").select("a", "b").union(copies)
     joined = scratch.keep(components(edges, "a", "b", scratch, "stars"), "joined")
+    scratch.drop("coded")
     linked = (
         member.join(counts, member.node == counts.a, "left")
         .groupBy("vec_id")
