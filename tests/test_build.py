@@ -199,3 +199,11 @@ def test_mime_patterns(spark):
     assert kept == values[:2]
     assert gates.mime_filter(df, ("xhtml", "^text")).count() == 3
     assert gates.mime_filter(df, ()).count() == 4
+
+
+def test_words_alone_look_for_no_links(spark):
+    pages = frame(spark, page(1, "http://a.b/x", 'apple <a href="/l">pear</a>'), page(2, "http://a.b/y", "plum"))
+    alone, whole = ex.extract(pages, links=False), ex.extract(pages)
+    assert "targets" not in alone.columns
+    assert sorted(alone.collect()) == sorted(whole.drop("targets").collect())
+    assert "href" not in alone._jdf.queryExecution().optimizedPlan().toString().lower()
