@@ -1,7 +1,11 @@
 """Index tables in a folder of Parquet files.
 
 Two parts: the base tables, which every batch appends to, and the search
-tables, which are built from them and replaced as a whole.
+tables, which are built from them as a whole. Each build of the search tables is
+a version, a folder of its own. A version counts from the moment its last table
+is complete, so a reader sees a whole version and a failed build leaves the one
+before it in use. A build keeps the version before its own, for those who read
+it, and removes older ones.
 
 Base tables are partitioned by the batch that wrote them. A batch reads only
 batches before it and overwrites only its own partition, so running it again
@@ -84,7 +88,8 @@ class IndexStore:
 
         Without a number of ``buckets`` it follows the number of postings.
         """
-        target = f"{self.path}/search"
+        version = 1 + max(self._versions(), default=-1)
+        target = f"{self.path}/search/v={version}"
         stats = se.corpus_stats(tables.postings, tables.edges).first()
         if buckets is None:
             buckets = min(MAX_BUCKETS, 1 + stats.pairs // POSTINGS_PER_BUCKET)
@@ -99,7 +104,7 @@ class IndexStore:
                 .partitionBy("bucket")
                 .parquet(f"{target}/{name}")
             )
-            return self._search(name)
+            return self._search(name, version)
 
         lazy = se.search_index(tables)
         links = clustered(lazy.links, "links", "link_id")
@@ -113,30 +118,60 @@ class IndexStore:
             "link_id",
         )
         ix.dictionary(postings).write.mode("overwrite").parquet(f"{target}/words")
-        grams = clustered(match.word_grams(self._search("words")), "grams", "gram", "word")
+        grams = clustered(match.word_grams(self._search("words", version)), "grams", "gram", "word")
         match.gram_counts(grams).write.mode("overwrite").parquet(f"{target}/gram_counts")
         self.spark.createDataFrame(
             [(stats.pairs, stats.max_inlinks, buckets)], schema.SEARCH["stats"]
-        ).write.mode("overwrite").parquet(f"{target}/stats")
+        ).coalesce(1).write.mode("overwrite").parquet(f"{target}/stats")
+        for old in self._versions():
+            if old < version - 1:
+                self._remove(f"{self.path}/search/v={old}")
         return self.search_index()
 
     def search_index(self) -> se.SearchIndex:
-        stats = self._search("stats").first()
+        """The newest complete version of the search tables."""
+        version = self.current_version()
+        if version is None:
+            raise ValueError(f"no search tables under {self.path}")
+        stats = self._search("stats", version).first()
         return se.SearchIndex(
-            links=self._search("links"),
-            postings=self._search("postings"),
-            words=self._search("words"),
-            grams=self._search("grams"),
-            gram_counts=self._search("gram_counts"),
+            links=self._search("links", version),
+            postings=self._search("postings", version),
+            words=self._search("words", version),
+            grams=self._search("grams", version),
+            gram_counts=self._search("gram_counts", version),
             pairs=F.lit(stats.pairs),
             max_inlinks=F.lit(stats.max_inlinks),
             buckets=stats.buckets,
         )
 
-    def _search(self, name: str) -> DataFrame:
-        return self.spark.read.schema(schema.SEARCH[name]).parquet(f"{self.path}/search/{name}")
+    def current_version(self) -> int | None:
+        """The newest version whose last table is complete."""
+        complete = [
+            v for v in self._versions() if self._exists(f"{self.path}/search/v={v}/stats/_SUCCESS")
+        ]
+        return max(complete, default=None)
+
+    def _versions(self) -> list[int]:
+        folder = f"{self.path}/search"
+        if not self._exists(folder):
+            return []
+        names = [s.getPath().getName() for s in self._files(folder).listStatus(self._place(folder))]
+        return [int(n[2:]) for n in names if n.startswith("v=")]
+
+    def _search(self, name: str, version: int) -> DataFrame:
+        return self.spark.read.schema(schema.SEARCH[name]).parquet(
+            f"{self.path}/search/v={version}/{name}"
+        )
+
+    def _place(self, folder: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+
+    def _files(self, folder: str):
+        return self._place(folder).getFileSystem(self.spark._jsc.hadoopConfiguration())
 
     def _exists(self, folder: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(folder)
-        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(target)
+        return self._files(folder).exists(self._place(folder))
+
+    def _remove(self, folder: str) -> None:
+        self._files(folder).delete(self._place(folder), True)

@@ -159,3 +159,21 @@ def test_grams_are_read_by_bucket(spark, stored):
     needed = spark.createDataFrame([("sear",)], "gram STRING")
     plan = se.grams_of(stored, needed)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_a_build_is_a_version_and_a_failed_one_is_not_seen(spark, tmp_path):
+    store = IndexStore(spark, str(tmp_path))
+    with pytest.raises(ValueError):
+        store.search_index()
+    whole = tables(spark, LINKS, POSTINGS, [(1, "u2")])
+    first = store.write_search(whole)
+    before = rows(se.search(first, "sear", "english"))
+    # A build that broke off before its last table.
+    first.words.write.parquet(f"{tmp_path}/search/v=1/words")
+    assert store.current_version() == 0
+    assert rows(se.search(store.search_index(), "sear", "english")) == before
+    for expected in (2, 3):
+        store.write_search(whole)
+        assert store.current_version() == expected
+    assert rows(se.search(store.search_index(), "sear", "english")) == before
+    assert sorted(store._versions()) == [2, 3]
