@@ -28,6 +28,8 @@ from pagelode.llm.pretokens import WordIds
 
 _POSITION = (1 << 32) - 1
 _ROWS = 256
+# Entries of a worker's dictionary, which other stages of a pipeline keep in memory.
+_WORDS = 300_000
 
 
 def byte_letters() -> list[str]:
@@ -72,7 +74,7 @@ class Codec:
             if self.special
             else None
         )
-        self._words = WordIds(self._word)
+        self._words = WordIds(self._word, _WORDS)
 
     def merge(self, symbols: list[int]) -> list[int]:
         """All merges of one pre-token, lowest rank first, leftmost first among equals."""
