@@ -83,7 +83,7 @@ def _circle(length: int, slots: int) -> tuple[np.ndarray, np.ndarray]:
     random = np.random.default_rng(20240501)
     scatter = random.permutation(slots).astype(np.uint32)
     values = random.permutation(slots).astype(np.uint32)
-    around = np.concatenate([values, values[:length]])
+    around = np.concatenate([values, values[: length - 1]])
     return scatter, np.lib.stride_tricks.sliding_window_view(around, length)
 
 

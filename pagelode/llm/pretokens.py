@@ -18,7 +18,7 @@ _FAST = r" ?[^\W\d_]+| ?\d+|'(?:s|t|re|ve|m|ll|d)| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+
 # The ASCII characters on which the classes differ: white space for one of them only.
 _CONTROLS = "\x1c\x1d\x1e\x1f"
 # Entries of a worker's dictionary. A full one is emptied, which only costs time.
-WORDS = 500_000
+WORDS = 1_000_000
 
 
 @cache
