@@ -8,8 +8,10 @@ Each stage takes what the one before it kept and calls one operator:
 3. near_dedup: of each group of near-duplicates, five words and a similarity of
    0.8, the document with the smallest id stays; so does one of repeated rows;
 4. mixing: sources are interleaved, with equal target weights; all documents
-   stay, and their order is that of the rows;
-5. tokens: the ids of every text.
+   stay, in the mixed order of the rows;
+5. tokens: the ids of every text, with its place in the mixed order. Tables
+   read from several files do not keep the order of their rows, so the places
+   are found again: they follow from the sources and ids alone.
 """
 
 from __future__ import annotations
@@ -61,17 +63,22 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return once.union(again)
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the mixed order of their sources."""
+def _in_mixed_order(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """All documents with mix_slot and mix_place, as row order and as columns."""
     mixed = mixing.mix_sources(docs)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = mixed.repartitionByRange(parts, "mix_slot").sortWithinPartitions("mix_slot", "mix_place")
-    return ordered.select(*docs.columns)
+    return mixed.repartitionByRange(parts, "mix_slot").sortWithinPartitions("mix_slot", "mix_place")
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the mixed order of their sources."""
+    return _in_mixed_order(spark, docs).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_tokens and ids of every document, in the order of the rows."""
-    return bpe.encode_documents(docs, VOCABULARY, keep=("doc_id", "lang", "source"))
+    """doc_id, lang, source, mix_slot, mix_place, n_tokens and ids of every document, in the mixed order."""
+    keep = ("doc_id", "lang", "source", "mix_slot", "mix_place")
+    return bpe.encode_documents(_in_mixed_order(spark, docs), VOCABULARY, keep=keep)
 
 
 STAGES = [

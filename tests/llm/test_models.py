@@ -6,11 +6,13 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import compare
 import corpus_pipeline
 from pagelode.llm import language, minhash, mixing, quality, queries
+from pagelode.llm.scratch import Scratch
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -114,6 +116,25 @@ def test_pipeline_stages_against_plain_code(spark, larger):
     assert sorted(r.doc_id for r in last) == sorted(order) and all(len(r.ids) == r.n_tokens for r in last)
 
 
+def test_the_mixed_order_survives_files_read_in_any_order(spark, larger, monkeypatch, tmp_path):
+    larger.where("doc_id < 250").write.parquet(str(tmp_path / "documents.parquet"))
+
+    def keep(self, df, name):
+        # Four files, read again from the last one to the first.
+        rows = spark.createDataFrame(df.collect(), df.schema).repartitionByRange(4, F.monotonically_increasing_id().desc())
+        path = f"{self.root}/{name}"
+        rows.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    mixed = [stage for stage in corpus_pipeline.STAGES if stage[0] in ("mixing", "tokens")]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", mixed)
+    monkeypatch.setattr(Scratch, "keep", keep)
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    order = {r.doc_id: (r.mix_slot, r.mix_place) for r in mixing.mix_sources(larger.where("doc_id < 250")).collect()}
+    assert [r.doc_id for r in got] == sorted(order, key=order.get)
+    assert {r.doc_id: (r.mix_slot, r.mix_place) for r in got} == order
+
+
 def test_pipeline_of_odd_and_empty_tables(spark, odd, empty):
     for docs in (odd, empty):
         n = docs.count()
