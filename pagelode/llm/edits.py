@@ -11,8 +11,10 @@ meeting unlikely.
 A fingerprint keeps the output at sampled steps, all multiples of a power of
 two that grows with the text, so that it is short and covers the whole text.
 The samples of a coarser power are among those of a finer one, which makes
-texts of different lengths comparable. Banding takes bits at fixed random
-places of a fingerprint; what shares a band is verified on all samples.
+texts of different lengths comparable. A band is a few samples at random places
+of the whole fingerprint; what shares a band is verified on all samples. The
+number of bands keeps the chance to miss a pair at the threshold below one in a
+million.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +35,8 @@ from pagelode.llm.scratch import Scratch
 
 WALKS = 2
 SAMPLES = 128
-BANDS = 16
-BAND_BITS = 32
+MAX_BANDS = 128
+_MISSED = 1e-6
 # The shared bits repeat after so many steps; a step number modulo it is a byte.
 _PERIOD = 256
 _CLASSES = 64
@@ -244,23 +247,52 @@ def _batch(found: list[tuple]) -> pa.RecordBatch:
     )
 
 
+def band_shape(threshold: float) -> tuple[int, int]:
+    """Bands and samples per band: as many samples as ``MAX_BANDS`` bands allow, one at least.
+
+    A pair whose share of equal samples is the threshold t shares a band of k
+    samples with a chance of t ** k, so bands of one walk miss it with
+    (1 - t ** k) ** bands.
+    """
+    if not 0 < threshold <= 1:
+        raise ValueError("the threshold must be above 0 and at most 1")
+
+    def bands(k: int) -> int:
+        met = threshold**k
+        return 1 if met == 1 else math.ceil(math.log(_MISSED) / math.log1p(-met))
+
+    k = 1
+    while k < SAMPLES // 4 and bands(k + 1) <= MAX_BANDS:
+        k += 1
+    return bands(k), k
+
+
 @cache
-def _places() -> np.ndarray:
-    """Per band, which bits it takes: of the first quarter of a full set of samples."""
-    return np.random.default_rng(53).integers(0, SAMPLES // 4 * 8, (BANDS, BAND_BITS))
+def _places(length: int, bands: int, k: int) -> np.ndarray:
+    """Per band, k random places among the first ``length``: those of the smallest ranks.
+
+    The ranks of the places do not depend on the length, so two fingerprints
+    take the same place with the chance min / max of their lengths.
+    """
+    return np.random.default_rng(53).random((length, bands * k)).argmin(axis=0).reshape(bands, k)
 
 
-def band_keys(told: str) -> list[str]:
-    """Keys of a fingerprint: per walk, at its own level and at the next coarser one."""
+def band_keys(told: str, threshold: float = 0.6) -> list[int]:
+    """Keys of a fingerprint: per walk, at its own level and at the coarser ones of texts that may be alike."""
     level, walks = _parsed(told)
+    bands, k = band_shape(threshold)
+    # A text of a level above 0 has more samples than this: a walk takes a step per character at least.
+    least = threshold * (SAMPLES // 4 + 1)
     keys = []
     for walk, samples in enumerate(walks):
-        for coarser in (0, 1):
-            taken = samples[:: 1 << coarser][: SAMPLES // 4]
-            bits = np.zeros(SAMPLES // 4 * 8, np.uint8)
-            bits[: 8 * len(taken)] = np.unpackbits(taken)
-            for band, places in enumerate(_places()):
-                keys.append(f"{walk}:{level + coarser}:{band}:{np.packbits(bits[places]).tobytes().hex()}")
+        coarser = 0
+        while len(samples) and (coarser == 0 or len(samples) >= least):
+            places = _places(len(samples), bands, k)
+            rows = np.concatenate([places.astype("<u4").view(np.uint8), samples[places]], axis=1)
+            for band, row in enumerate(rows):
+                seed = ((level + coarser) * WALKS + walk) * bands + band
+                keys.append(xxhash.xxh3_64_intdigest(row.tobytes(), seed) - (1 << 63))
+            samples, coarser = samples[::2], coarser + 1
     return keys
 
 
@@ -279,9 +311,11 @@ def near_texts(
     rows = fingerprints.where("doc_id is not null and fingerprint is not null").select("doc_id", "fingerprint")
     nodes = scratch.keep(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("node")), "nodes")
 
-    @F.udf("array<string>")
+    band_shape(threshold)
+
+    @F.udf("array<bigint>")
     def keys(told):
-        return band_keys(told)
+        return band_keys(told, threshold)
 
     @F.udf("double")
     def alike(a, b):

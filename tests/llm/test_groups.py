@@ -199,3 +199,25 @@ def test_near_texts_groups_copies(documents):
     for i, root in exact.items():
         if i != root:
             assert got[i] == got[root]
+
+
+def alike_by_brute_force(rows, threshold):
+    pairs = itertools.combinations(rows, 2)
+    links = [(a, b) for (a, x), (b, y) in pairs if edits.likeness(x, y) >= threshold]
+    return roots([i for i, _ in rows], links), links
+
+
+def test_bands_find_edits_at_the_start_middle_and_end(spark):
+    draw = random.Random(4)
+    some = lambda n: "".join(draw.choice("abcdefghij klmnop") for _ in range(n))
+    texts = []
+    for n in (300, 1000, 1020, 4000) * 6:
+        base, part = some(n), draw.choice([n // 6, n // 4, n // 3])
+        middle = (n - part) // 2
+        texts += [base, some(part) + base[part:], base[:-part] + some(part)]
+        texts += [base[:middle] + some(part) + base[middle + part :], some(20) + base]
+    rows = [(i, edits.fingerprint(t)) for i, t in enumerate(texts)]
+    expected, links = alike_by_brute_force(rows, 0.6)
+    keys = {i: set(edits.band_keys(told, 0.6)) for i, told in rows}
+    assert len(links) > 50 and all(keys[a] & keys[b] for a, b in links)
+    assert found(edits.near_texts(spark.createDataFrame(rows, "doc_id BIGINT, fingerprint STRING"))) == expected
