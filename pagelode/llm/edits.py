@@ -37,6 +37,8 @@ WALKS = 2
 SAMPLES = 128
 MAX_BANDS = 128
 _MISSED = 1e-6
+# Nodes of a band that are compared with as many others in one group.
+BLOCK = 512
 # The shared bits repeat after so many steps; a step number modulo it is a byte.
 _PERIOD = 256
 _CLASSES = 64
@@ -296,16 +298,32 @@ def band_keys(told: str, threshold: float = 0.6) -> list[int]:
     return keys
 
 
+def _apart(placed: DataFrame) -> DataFrame:
+    """Pairs of nodes of a band in different components, but for those with its smallest node.
+
+    A band is cut into blocks by the hash of the node; a group holds two blocks.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    cut = placed.where("node <> least").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    every = F.sequence(F.lit(0), blocks - 1)
+    x = cut.select("band", F.col("block").alias("x"), F.explode(every).alias("y"), F.col("node").alias("a"), F.col("component").alias("of_x"))
+    y = cut.select("band", F.explode(every).alias("x"), F.col("block").alias("y"), F.col("node").alias("b"), F.col("component").alias("of_y"))
+    return x.join(y, ["band", "x", "y"]).where("a < b and of_x <> of_y").select("a", "b").distinct()
+
+
 def near_texts(
     fingerprints: DataFrame, threshold: float = 0.6, *, scratch: Scratch | None = None
 ) -> DataFrame:
     """(doc_id, component_id) over documents whose fingerprints are alike.
 
     ``fingerprints`` has doc_id and fingerprint. Equal fingerprints are one
-    node. Each node of a band is verified against the smallest one in it, by
-    the likeness of all samples, so a band of any size gives as many pairs as it
-    has nodes. ``component_id`` is the smallest doc_id reachable. A null doc_id
-    is left out. This is an approximate search, made by chance.
+    node. Each node of a band is first verified against the smallest one in it,
+    by the likeness of all samples. Nodes of a band that this leaves in
+    different components are then compared with each other, block by block, so
+    every pair that shares a band is verified or linked by others; the pairs
+    grow with the square of a band of unlike nodes. ``component_id`` is the
+    smallest doc_id reachable. A null doc_id is left out. Only the bands are
+    left to chance: see ``band_shape``.
     """
     scratch = scratch or Scratch(fingerprints.sparkSession, "edits")
     rows = fingerprints.where("doc_id is not null and fingerprint is not null").select("doc_id", "fingerprint")
@@ -321,13 +339,24 @@ def near_texts(
     def alike(a, b):
         return likeness(a, b)
 
-    banded = scratch.keep(nodes.select("node", F.explode(keys("fingerprint")).alias("band")).distinct(), "bands")
-    least = banded.groupBy("band").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = banded.join(least, "band").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    every = nodes.select("node", F.explode(keys("fingerprint")).alias("band")).distinct()
+    least = every.groupBy("band").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    banded = scratch.keep(every.join(least, "band"), "bands")
     of_a = nodes.select(F.col("node").alias("a"), F.col("fingerprint").alias("of_a"))
     of_b = nodes.select(F.col("node").alias("b"), F.col("fingerprint").alias("of_b"))
-    met = pairs.join(of_b, "b").join(of_a, "a").where(alike("of_a", "of_b") >= threshold).select("a", "b")
+
+    def verified(pairs):
+        return pairs.join(of_b, "b").join(of_a, "a").where(alike("of_a", "of_b") >= threshold).select("a", "b")
+
+    stars = banded.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+    met = scratch.keep(verified(stars), "met")
+    linked = components(met, "a", "b", scratch, "met-stars")
+    placed = banded.where("n > 2").join(linked, "node", "left").select(
+        "band", "n", "node", "least", F.coalesce("component", "node").alias("component")
+    )
+    rest = scratch.keep(_apart(placed), "rest")
+    more = scratch.keep(verified(rest), "more")
     copies = rows.join(nodes, "fingerprint").where("node <> doc_id").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
-    joined = components(met.union(copies), "a", "b", scratch, "stars")
+    joined = components(met.union(more).union(copies), "a", "b", scratch, "stars")
     found = rows.select("doc_id").distinct().join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return found.select("doc_id", F.coalesce("component", "doc_id").alias("component_id"))

@@ -221,3 +221,21 @@ def test_bands_find_edits_at_the_start_middle_and_end(spark):
     keys = {i: set(edits.band_keys(told, 0.6)) for i, told in rows}
     assert len(links) > 50 and all(keys[a] & keys[b] for a, b in links)
     assert found(edits.near_texts(spark.createDataFrame(rows, "doc_id BIGINT, fingerprint STRING"))) == expected
+
+
+@pytest.mark.parametrize("block", [512, 2])
+def test_a_band_loses_no_link_its_smallest_node_does_not_see(spark, monkeypatch, block):
+    monkeypatch.setattr(edits, "BLOCK", block, raising=False)
+    # All in one band, of which the smallest node is like none.
+    monkeypatch.setattr(edits, "band_keys", lambda told, threshold=0.6: [1])
+    draw = random.Random(6)
+    some = lambda n: "".join(draw.choice("abcdefghij klmnop") for _ in range(n))
+    texts = [some(1000)]
+    for _ in range(5):
+        base = some(1000)
+        texts += [base, base[:-100] + some(100), base[:-150] + some(150)]
+    rows = [(i, edits.fingerprint(t)) for i, t in enumerate(texts)]
+    expected, links = alike_by_brute_force(rows, 0.6)
+    assert len(links) >= 10 and all(a for a, _ in links)
+    got = edits.near_texts(spark.createDataFrame(rows, "doc_id BIGINT, fingerprint STRING"))
+    assert found(got) == expected
