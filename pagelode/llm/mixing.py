@@ -15,6 +15,7 @@ weights in proportion: a new phase, with a frame of its own.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from dataclasses import dataclass
 from fractions import Fraction
 from heapq import heappop, heappush
@@ -81,32 +82,38 @@ def plan_frame(given: dict[str, int]) -> list[str]:
 class Phase:
     """Blocks of the sources that are left, from slot ``first`` on.
 
-    ``done`` has the blocks that each source placed before, ``until`` those it
-    has placed when the phase ends.
+    ``slots`` has each source's slots of the frame ``order``, ``done`` the blocks
+    it placed before, ``until`` those it has placed when the phase ends.
     """
 
     first: int
     order: list[str]
+    slots: dict[str, list[int]]
     done: dict[str, int]
     until: dict[str, int]
 
 
 def plan_phases(weights: dict[str, float], blocks: dict[str, int], frame: int = FRAME) -> list[Phase]:
-    """Phases until all blocks are placed; each but the last ends when a source runs out."""
+    """Phases until all blocks are placed; each but the last ends when a source runs out.
+
+    So S sources give at most S phases, each of at most max(``frame``, S) slots.
+    """
     left = {s: n for s, n in blocks.items() if n}
     done = dict.fromkeys(left, 0)
     first, phases = 0, []
     while left:
         order = plan_frame(shares({s: weights[s] for s in left}, frame))
-        slots = {s: [i for i, x in enumerate(order) if x == s] for s in left}
+        slots = {s: [] for s in left}
+        for i, s in enumerate(order):
+            slots[s].append(i)
         # The slot at which each source places its last block, counted from the phase.
         last = {s: (n - 1) // len(slots[s]) * len(order) + slots[s][(n - 1) % len(slots[s])] for s, n in left.items()}
         end = min(last.values()) + 1
         until = dict(done)
         for s in left:
             whole, rest = divmod(end, len(order))
-            until[s] = done[s] + whole * len(slots[s]) + sum(1 for i in slots[s] if i < rest)
-        phases.append(Phase(first, order, done, until))
+            until[s] = done[s] + whole * len(slots[s]) + bisect_left(slots[s], rest)
+        phases.append(Phase(first, order, slots, done, until))
         left = {s: blocks[s] - until[s] for s in left if blocks[s] > until[s]}
         done, first = until, first + end
     return phases
@@ -133,7 +140,8 @@ def mix_sources(
     replaced; an empty table stays empty.
 
     Per source, one count comes to the driver, and the plan that goes back has
-    a frame per phase; the sources must be few enough for that. Ranks within a
+    a frame per phase: for S sources at most S * max(``frame``, S) slots in all,
+    of four bytes each; the sources must be few enough for that. Ranks within a
     source are taken in cells of its shuffled order, so a source with a third
     of all rows is ranked by many tasks.
     """
@@ -175,9 +183,8 @@ def mix_sources(
     plan = []
     for phase in phases:
         for s, high in phase.until.items():
-            if high > phase.done.get(s, 0) and s in phase.order:
-                slots = [i for i, x in enumerate(phase.order) if x == s]
-                plan.append((s, phase.done[s], high, phase.first, len(phase.order), slots))
+            if high > phase.done.get(s, 0) and s in phase.slots:
+                plan.append((s, phase.done[s], high, phase.first, len(phase.order), phase.slots[s]))
     table = spark.createDataFrame(
         plan, "_source STRING, _low BIGINT, _high BIGINT, _first BIGINT, _frame BIGINT, _slots ARRAY<INT>"
     )

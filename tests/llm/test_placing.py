@@ -106,6 +106,16 @@ def test_mixing_equals_the_schedule_block_by_block(documents):
     assert sources == expected
 
 
+@pytest.mark.parametrize("n, frame", [(60, 500), (60, 20)])
+def test_the_plan_keeps_to_its_bound(n, frame):
+    blocks = {f"s{i}": 3 + 2 * i for i in range(n)}
+    phases = mixing.plan_phases({s: 1.0 + i % 7 / 3 for i, s in enumerate(blocks)}, blocks, frame)
+    assert len(phases) <= n
+    assert all(len(p.order) == sum(map(len, p.slots.values())) <= max(frame, n) for p in phases)
+    assert all([p.order[i] for i in at] == [s] * len(at) for p in phases for s, at in p.slots.items())
+    assert phases[-1].until == blocks
+
+
 def test_mixing_odd_rows(odd, empty):
     got = mixing.mix_sources(odd, {"a": 3.0, "b": 0.0, "gone": 2.0}, block=1)
     assert got.columns == [*odd.columns, "mix_slot", "mix_place"]
