@@ -11,7 +11,8 @@ Each stage takes what the one before it kept and calls one operator:
    stay, in the mixed order of the rows;
 5. tokens: the ids of every text, with its place in the mixed order. Tables
    read from several files do not keep the order of their rows, so the places
-   are found again: they follow from the sources and ids alone.
+   are found again: they follow from the sources and ids alone, but for rows of
+   one source with the same id, which may change places among themselves.
 """
 
 from __future__ import annotations
