@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelode.llm import bpe, edits, language, minhash, mixing, planes, quality, sharding, vectors, warc
+from pagelode.llm import (
+    bpe,
+    edits,
+    infill,
+    interplay,
+    language,
+    minhash,
+    mixing,
+    outliers,
+    planes,
+    quality,
+    sharding,
+    vectors,
+    warc,
+)
 from pagelode.session import scratch_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -126,3 +140,90 @@ def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
 def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Digests of the ids and of the decoded text of every document."""
     return bpe.encode_documents(_documents(spark, sf), VOCABULARY, summary=True)
+
+
+@query
+def op11_outliers(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts and verdict of every document, by fixed rules and its language and source."""
+    return outliers.reject_outliers(_documents(spark, sf))
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """What each of five filters does at each step of each order, per language."""
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    return interplay.audit_filters(_documents(spark, sf), labels).drop("filter")
+
+
+SQL["op12_filter_audit"] = r"""
+    with d as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text from documents),
+    w as (select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words,
+        length(regexp_replace(text, '[^A-Z]', '', 'g')) as capitals,
+        min(doc_id) over (partition by text) as first from d),
+    f as (select w.doc_id, w.part, unnest(['A', 'B', 'C', 'D', 'E']) as letter, unnest([
+          len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words),
+          100 * capitals > 3 * length(text), regexp_matches(text, '[#$%&*|]'),
+          coalesce(doc_id > first, false)]) as fails,
+        coalesce(l.quality = 1, false) as good, coalesce(l.toxic = 1, false) as toxic, w.rowid as r
+      from (select *, row_number() over () as rowid from w) w left join labels l using (doc_id)),
+    o as (select a.x || b.x || c.x || d.x || e.x as filter_order
+      from (select unnest(['A', 'B', 'C', 'D', 'E']) as x) a,
+        (select unnest(['A', 'B', 'C', 'D', 'E']) as x) b, (select unnest(['A', 'B', 'C', 'D', 'E']) as x) c,
+        (select unnest(['A', 'B', 'C', 'D', 'E']) as x) d, (select unnest(['A', 'B', 'C', 'D', 'E']) as x) e
+      where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+    m as (select r, any_value(part) as part, any_value(good) as good, any_value(toxic) as toxic,
+        coalesce(string_agg(letter, '' order by letter) filter (fails), '') as failed from f group by r),
+    c as (select part, failed, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic
+      from m group by part, failed),
+    s as (select part, filter_order, step, substr(filter_order, step, 1) as letter, failed, n, good, toxic,
+        contains(failed, substr(filter_order, step, 1)) as fails,
+        length(translate(failed, left(filter_order, step - 1), '')) < length(failed) as before
+      from c, o, (select unnest([1, 2, 3, 4, 5]) as step)),
+    t as (select part, filter_order, step, any_value(letter) as letter,
+        coalesce(sum(n) filter (not fails and not before), 0) as kept,
+        coalesce(sum(n) filter (fails and not before), 0) as removed,
+        coalesce(sum(n) filter (fails and before), 0) as redundant,
+        coalesce(sum(n) filter (failed = letter), 0) as unique_fails,
+        coalesce(sum(good) filter (fails and not before), 0) as good_lost,
+        coalesce(sum(toxic) filter (fails and not before), 0) as toxic_lost
+      from s group by part, filter_order, step)
+    select part, filter_order, cast(step as int) as step, cast(kept as bigint) as kept,
+      cast(removed as bigint) as removed, cast(redundant as bigint) as redundant,
+      cast(unique_fails as bigint) as unique_fails, cast(good_lost as bigint) as good_lost,
+      cast(toxic_lost as bigint) as toxic_lost,
+      cast(sum(removed) over (partition by part, letter) as bigint) as shapley from t"""
+
+
+@query
+def op13_infill(spark: SparkSession, sf: str) -> DataFrame:
+    """Digests of every document's fill-in-the-middle form and of the text rebuilt from it."""
+    made = infill.fill_in_middle(_documents(spark, sf))
+    back = infill.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
+SQL["op13_infill"] = r"""
+    with d as (select doc_id, coalesce(text, '') as text, sha256('42:' || doc_id) as h,
+        regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as t
+      from documents),
+    c as (select *, len(t) as n, ('0x' || substr(h, 1, 8))::bigint % (len(t) + 1) as x,
+        ('0x' || substr(h, 9, 8))::bigint % (len(t) + 1) as y,
+        case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>')
+            or ('0x' || substr(h, 17, 8))::bigint % 100 >= 50 then 'plain'
+          when ('0x' || substr(h, 25, 8))::bigint % 100 < 80 then 'spm' else 'psm' end as form from d),
+    p as (select *, array_to_string(t[1:least(x, y)], '') as prefix,
+        array_to_string(t[least(x, y) + 1:greatest(x, y)], '') as middle,
+        array_to_string(t[greatest(x, y) + 1:], '') as suffix from c)
+    select doc_id, n, form, case when form <> 'plain' then length(prefix) end as prefix_chars,
+      case when form <> 'plain' then length(middle) end as middle_chars,
+      sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+      sha256(text) as restored_sha256 from p"""
