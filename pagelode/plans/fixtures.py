@@ -88,6 +88,16 @@ def graph(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def linked_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages whose HTML holds the derived links as well."""
+    anchor = F.concat(F.lit('<a href="'), "url_to", F.lit('"></a>'))
+    more = graph(spark, sf).groupBy(F.col("link_id_from").alias("page_id")).agg(
+        F.concat_ws("", F.array_sort(F.collect_list(anchor))).alias("more")
+    )
+    linked = pages(spark, sf).join(more, "page_id", "left")
+    return linked.withColumn("html", F.concat("html", F.coalesce("more", F.lit("")))).drop("more")
+
+
 def order_edges(spark: SparkSession, sf: str) -> DataFrame:
     """A larger edge list: order to part."""
     return (

@@ -222,6 +222,24 @@ def _suggestions() -> str:
     return _with("wr", "select * from (" + " union all ".join(parts) + ") where pos <= 6")
 
 
+def _after_batches() -> str:
+    """All ranked rows over pages of which some were indexed again with a word more."""
+    return _with(
+        "wr link graph outl accepted",
+        """, wr2 as (select * from wr union all select 'zzzq', page_id, 1 from accepted),
+        edge as (select link_id_from, url_to from graph union select link_id, url_to from outl),
+        inl2 as (select url_to as url, count(*) as inlinks from edge
+          where link_id_from in (select link_id from link) group by url_to),
+        len2 as (select link_id, sum(weight) as page_length from wr2 group by link_id),
+        sel as (select wr2.word, wr2.link_id, wr2.weight, link.url, link.title from wr2 join link using (link_id)
+          where (contains(word, 'ther') or contains(word, 'zzzq')) and language = 'english')
+        select title, sel.url, word, round((cast(weight as double) / page_length)
+            * ln((select count(*) from wr2) / (select count(distinct link_id) from sel)) * 0.6
+          + 0.4 * (ln(cast(inlinks as double)) / nullif(ln((select max(inlinks) from inl2)), 0)), 6) as rank
+        from sel join len2 using (link_id) left join inl2 on inl2.url = sel.url""",
+    )
+
+
 _EPOCH = "epoch_us(indexed_at) // 1000000"
 _MATCHED = "select word from dict where "
 
@@ -318,6 +336,7 @@ def oracle_sql() -> dict[str, str]:
             {_ORDER} limit 10""",
         ),
         "search_batch": _batch(),
+        "search_after_batches": _after_batches(),
         "suggest": _suggestions(),
         "result_anchor": """select url, '<a href="' || url || '">' || url || '</a>' as anchor from pages""",
         "out_links": _with("outl", "select link_id, url_to from outl"),

@@ -18,10 +18,12 @@ from pagelode.operators.suggest import suggest as suggest_words
 from pagelode.operators.throttle import recrawl_throttle as throttle
 from pagelode.plans import build
 from pagelode.plans import fixtures as fx
+from pagelode.plans import live
 from pagelode.session import materialize, scratch_path
 from pagelode.sources.pages import list_rows
 from pagelode.sources.store import IndexStore
 from pagelode.streaming.index_stream import stream_index as start_stream
+from pagelode.streaming.index_stream import stream_live_index as start_live_stream
 from pagelode.streaming.seen import new_url_stream as first_rows
 
 REGISTERED = {}
@@ -468,6 +470,33 @@ def stream_index(spark: SparkSession, sf: str) -> DataFrame:
     return store.link().select("link_id", "url", "language", "title")
 
 
+def _streamed_index(spark: SparkSession, sf: str) -> live.SegmentStore:
+    """A live index after four deliveries of page files to one stream: a third of the
+    pages each, then the HTML pages again with one more word."""
+    path = scratch_path(spark, "live")
+    pages = fx.linked_pages(spark, sf)
+    third = F.pmod(F.col("page_id"), F.lit(3))
+    again = gates.mime_filter(fx.typed_pages(spark, sf)).select("page_id")
+    deliveries = [pages.where(third == i) for i in range(3)]
+    deliveries.append(
+        pages.join(again, "page_id", "left_semi").withColumn("html", F.concat("html", F.lit("<p>zzzq</p>")))
+    )
+    store = live.live_store(spark, f"{path}/store", buckets=8)
+    for delivery in deliveries:
+        delivery.select("page_id", "url", "html").write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema("page_id BIGINT, url STRING, html STRING").parquet(f"{path}/in")
+        run = start_live_stream(stream, store, f"{path}/checkpoint", lambda _: F.to_timestamp(F.lit(fx.NOW)))
+        run.awaitTermination()
+    return store
+
+
+@query
+def search_after_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """All results of a search in an index that several micro-batches have extended."""
+    index = live.search_index(_streamed_index(spark, sf).snapshot())
+    return _rounded(se.search(index, "ther zzzq", "english", limit=100_000))
+
+
 def _reindexed(spark: SparkSession, sf: str, first: DataFrame, second: DataFrame, mode: str) -> IndexStore:
     """Two batches, the second with the pages as given; the first adds a word to each."""
     store = IndexStore(spark, scratch_path(spark, "reindex"))

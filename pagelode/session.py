@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,3 +58,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def working(spark: SparkSession, name: str) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A function like ``materialize`` whose tables are removed at the end of the block.
+
+    For work that is complete by then: nothing that leaves the block may read them.
+    """
+    from pagelode.sources import files
+
+    root = scratch_path(spark, name)
+
+    def keep(df: DataFrame, table: str) -> DataFrame:
+        df.write.parquet(f"{root}/{table}")
+        return spark.read.schema(df.schema).parquet(f"{root}/{table}")
+
+    try:
+        yield keep
+    finally:
+        files.remove(spark, root)
