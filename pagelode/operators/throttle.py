@@ -3,94 +3,106 @@
 An arrival is accepted if the URL was never accepted, or if its last accept is
 at least the time to live ago; an accept restarts the clock. The rule is
 greedy along each URL's timeline, so a look at the previous row is not enough.
+
+Every arrival points to the first one of its URL that is at least the time to
+live later. The accepts are the chain of pointers from the first arrival on.
+Pointers are doubled: after round k the first 2^k accepts are known, and the
+pointers lead 2^k accepts ahead. Every round joins on (URL, time), which is
+unique on one side, so a hot URL is many keys and its skew is split.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pagelode.session import scratch_path
+from pagelode.sources import files
+
+
+def _keep(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-# Arrivals of one URL that are replayed as one sorted array.
-MAX_ARRAY = 10_000
 
+def next_due(log: DataFrame, ttl: int, path: str) -> DataFrame:
+    """(key, time, to): each arrival and the first of its key at least ``ttl`` later, if any.
 
-def _replay_arrays(arrivals: DataFrame, ttl: int) -> DataFrame:
-    start = F.struct(
-        F.lit(None).cast("bigint").alias("last"), F.array().cast("array<bigint>").alias("kept")
+    Arrivals and the times they ask for are cut into ranges of (key, time),
+    which split a hot key, and answered within their range by a running minimum
+    from the end. A time that no arrival of its range follows takes the first
+    one of the key in a later range: as many rows as there are ranges.
+    """
+    parts = int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    none = F.lit(None).cast("bigint")
+    points = log.select("key", F.col("time").alias("at"), none.alias("time")).union(
+        log.select("key", (F.col("time") + ttl).alias("at"), "time")
     )
+    placed = points.repartitionByRange(parts, "key", "at").withColumn("part", F.spark_partition_id())
+    placed = _keep(placed, f"{path}/points")
 
-    def step(state, time):
-        due = state["last"].isNull() | (time - state["last"] >= ttl)
-        return F.when(
-            due, F.struct(time.alias("last"), F.array_append(state["kept"], time).alias("kept"))
-        ).otherwise(state)
+    arrived = F.when(F.col("time").isNull(), F.col("at"))
+    from_end = Window.partitionBy("part", "key").orderBy(F.col("at").desc(), F.col("time").asc_nulls_first())
+    here = placed.withColumn("to", F.min(arrived).over(from_end.rowsBetween(Window.unboundedPreceding, 0)))
+    asked = here.where("time is not null").drop("at")
 
+    split = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
+    heads = (
+        placed.join(split.select("key"), "key", "left_semi")
+        .groupBy("key", "part")
+        .agg(F.min(arrived).alias("head"))
+    )
+    later = Window.partitionBy("key").orderBy(F.col("part").desc())
+    heads = heads.withColumn("later", F.min("head").over(later.rowsBetween(Window.unboundedPreceding, -1)))
     return (
-        arrivals.groupBy("url")
-        .agg(F.array_sort(F.collect_list("time")).alias("_times"))
-        .select("url", F.explode(F.aggregate("_times", start, step)["kept"]).alias("time"))
+        asked.join(heads.select("key", "part", "later"), ["key", "part"], "left")
+        .select("key", "time", F.coalesce("to", "later").alias("to"))
+        .where("to is not null")
     )
 
 
-def _replay_slices(arrivals: DataFrame, ttl: int) -> DataFrame:
-    """For URLs with any number of arrivals: one round per slice of ttl length.
-
-    Two accepts are at least ttl apart, so a slice holds at most one per URL:
-    the earliest arrival that is due. That is a minimum, which the map tasks
-    combine, so a hot URL sends one row per task. Every round reads its own
-    slice of the log only and adds to the accepts written so far.
-    """
-    spark = arrivals.sparkSession
-    log, kept = scratch_path(spark, "arrivals"), scratch_path(spark, "accepts")
-    (
-        arrivals.withColumn("slice", F.floor(F.col("time") / ttl).cast("bigint"))
-        .repartitionByRange("slice", "url", "time")
-        .write.partitionBy("slice")
-        .parquet(log)
-    )
-    sliced = spark.read.schema(
-        f"url {arrivals.schema['url'].dataType.simpleString()}, time BIGINT, slice BIGINT"
-    ).parquet(log)
-    # One short row per slice of the time span, never per arrival.
-    slices = [r.slice for r in sliced.select("slice").distinct().orderBy("slice").toLocalIterator()]
-    accepted = None
-    schema = sliced.schema
-    for at in slices:
-        here = sliced.where(F.col("slice") == at).select("url", "time")
-        if accepted is not None:
-            # Only an accept of the slice before can still block this one.
-            before = accepted.where(F.col("slice") == at - 1).select(
-                "url", F.col("time").alias("_last")
-            )
-            before = before.withColumnRenamed("url", "_url")
-            here = here.join(before, F.col("url").eqNullSafe(F.col("_url")), "left").where(
-                F.col("_last").isNull() | (F.col("time") - F.col("_last") >= ttl)
-            )
-            here = here.select("url", "time")
-        here.groupBy("url").agg(F.min("time").alias("time")).write.parquet(f"{kept}/slice={at}")
-        accepted = spark.read.schema(schema).parquet(kept)
-    if accepted is None:
-        return arrivals.select("url", "time")
-    return accepted.select("url", "time")
-
-
-def recrawl_throttle(arrivals: DataFrame, ttl: int, max_array: int = MAX_ARRAY) -> DataFrame:
+def recrawl_throttle(arrivals: DataFrame, ttl: int, last: DataFrame | None = None) -> DataFrame:
     """Accepted (url, time) rows; ``time`` and ``ttl`` are whole microseconds.
 
     Arrivals of one URL at the same microsecond are one arrival. An arrival
     without a time is none; all arrivals without a URL are those of one URL.
-    ``max_array`` chooses between two replays of the same rule and changes no row.
+    ``last`` holds accepts from before, (url, time) with one row per URL.
     """
-    log = arrivals.select("url", F.col("time").cast("bigint").alias("time")).where("time is not null")
+    # Rows of equal structs join even where their field is null.
+    log = arrivals.select(F.struct("url").alias("key"), F.col("time").cast("bigint").alias("time"))
+    log = log.where("time is not null").distinct()
+    if last is not None:
+        before = last.select(F.struct("url").alias("key"), F.col("time").alias("last"))
+        log = log.join(before, "key", "left").where(
+            F.col("last").isNull() | (F.col("time") - F.col("last") >= ttl)
+        )
+        log = log.select("key", "time")
     if ttl <= 0:
-        return log.distinct()
-    sizes = log.groupBy("url").agg(F.count(F.lit(1)).alias("_rows"))
-    hot = sizes.where(F.col("_rows") > max_array).select(F.col("url").alias("_hot"))
-    if hot.isEmpty():
-        return _replay_arrays(log.distinct(), ttl)
-    same = F.col("url").eqNullSafe(F.col("_hot"))
-    return _replay_arrays(log.join(hot, same, "left_anti").distinct(), ttl).unionByName(
-        _replay_slices(log.join(hot, same, "left_semi"), ttl)
-    )
+        return log.select("key.url", "time")
+
+    spark = arrivals.sparkSession
+    path = scratch_path(spark, "throttle")
+    log = _keep(log, f"{path}/log")
+    pointers = _keep(next_due(log, ttl, path), f"{path}/pointers")
+    first = log.groupBy("key").agg(F.min("time").alias("time"))
+    # Arrivals nothing points to are no accepts.
+    met = first.union(pointers.select("key", F.col("to").alias("time"))).distinct()
+    pointers = _keep(pointers.join(met, ["key", "time"], "left_semi"), f"{path}/pointers-0")
+    schema = first.schema
+    new = _keep(first, f"{path}/accepts/round=0")
+    files.remove(spark, f"{path}/points")
+    files.remove(spark, f"{path}/pointers")
+    step = 0
+    while not new.isEmpty():
+        accepted = spark.read.schema(schema).parquet(f"{path}/accepts")
+        ahead = accepted.join(pointers, ["key", "time"]).select("key", F.col("to").alias("time"))
+        step += 1
+        new = _keep(ahead, f"{path}/accepts/round={step}")
+        then = pointers.select("key", F.col("time").alias("to"), F.col("to").alias("then"))
+        doubled = pointers.join(then, ["key", "to"]).select("key", "time", F.col("then").alias("to"))
+        pointers = _keep(doubled, f"{path}/pointers-{step}")
+        files.remove(spark, f"{path}/pointers-{step - 1}")
+    files.remove(spark, f"{path}/pointers-{step}")
+    files.remove(spark, f"{path}/log")
+    return spark.read.schema(schema).parquet(f"{path}/accepts").select("key.url", "time")

@@ -378,6 +378,14 @@ def oracle_sql() -> dict[str, str]:
             f"""select link_id as page_id, url from timed where indexed_at is null
             or indexed_at <= timestamp '{NOW}' - interval {TTL_SECONDS} second""",
         ),
+        "recrawl_gate": f"""with recursive log as (
+              select distinct cast(user_id as varchar) as url, epoch_us(ts) as time from events),
+            acc as (
+              select url, min(time) as time from log group by url
+              union all
+              select a.url, min(l.time) from acc a join log l
+              on l.url = a.url and l.time >= a.time + {TTL_SECONDS * 1_000_000} group by a.url)
+            select url, time from acc""",
         "recrawl_throttle": f"""with recursive log as (
               select distinct user_id as url, epoch_us(ts) as time from events),
             acc as (

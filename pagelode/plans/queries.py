@@ -22,6 +22,7 @@ from pagelode.plans import live
 from pagelode.session import materialize, scratch_path
 from pagelode.sources.pages import list_rows
 from pagelode.sources.store import IndexStore
+from pagelode.streaming import gate as gt
 from pagelode.streaming.index_stream import stream_index as start_stream
 from pagelode.streaming.index_stream import stream_live_index as start_live_stream
 from pagelode.streaming.seen import new_url_stream as first_rows
@@ -306,6 +307,23 @@ def recrawl_throttle(spark: SparkSession, sf: str) -> DataFrame:
     return throttle(arrivals, fx.TTL_SECONDS * 1_000_000)
 
 
+@query
+def recrawl_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """Accepted arrivals of a stream that brings the events in three spans of time."""
+    path = scratch_path(spark, "gate")
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    arrivals = events.select(F.col("user_id").cast("string").alias("url"), fx.event_micros().alias("time"))
+    span = arrivals.agg(F.min("time").alias("low"), F.max("time").alias("high")).first()
+    store = gt.gate_store(spark, f"{path}/store", buckets=8)
+    third = F.least(F.floor(3 * (F.col("time") - span.low) / F.lit(max(1, span.high - span.low))), F.lit(2))
+    for i in range(3):
+        arrivals.where(third == i).write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema("url STRING, time BIGINT").parquet(f"{path}/in")
+        run = gt.stream_gate(stream, store, f"{path}/checkpoint", fx.TTL_SECONDS * 1_000_000, lateness=0)
+        run.awaitTermination()
+    return store.snapshot().rows("accepted").select("url", "time")
+
+
 # Upkeep of the tables
 
 
@@ -471,13 +489,13 @@ def stream_index(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _streamed_index(spark: SparkSession, sf: str) -> live.SegmentStore:
-    """A live index after four deliveries of page files to one stream: a third of the
+    """A live index after three deliveries of page files to one stream: half of the
     pages each, then the HTML pages again with one more word."""
     path = scratch_path(spark, "live")
     pages = fx.linked_pages(spark, sf)
-    third = F.pmod(F.col("page_id"), F.lit(3))
+    half = F.pmod(F.col("page_id"), F.lit(2))
     again = gates.mime_filter(fx.typed_pages(spark, sf)).select("page_id")
-    deliveries = [pages.where(third == i) for i in range(3)]
+    deliveries = [pages.where(half == i) for i in range(2)]
     deliveries.append(
         pages.join(again, "page_id", "left_semi").withColumn("html", F.concat("html", F.lit("<p>zzzq</p>")))
     )

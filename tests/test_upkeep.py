@@ -15,7 +15,8 @@ from pagelode.operators import throttle as th
 from pagelode.operators.gates import recrawl_due
 from pagelode.operators.reach import reachable_pages
 from pagelode.sources.pages import list_rows
-from pagelode.streaming.gate import accepted_times, recrawl_gate
+from pagelode.session import scratch_path
+from pagelode.streaming.gate import accept_batch, accepted_times, gate_store, merge_gate, recrawl_gate
 from pagelode.streaming.seen import new_url_stream
 
 
@@ -46,22 +47,91 @@ def test_gate_is_greedy():
     assert accepted_times(np.array([5, 10, 11]), 10, 0) == [10]
 
 
-@pytest.mark.parametrize("max_array", [0, 25, 10_000])
-def test_throttle_equals_brute_force(spark, max_array):
+def test_throttle_equals_brute_force(spark):
     rng = random.Random(7)
     log = [(u, rng.randrange(0, 400)) for u in range(6) for _ in range(10 * (u + 1))] + [(1, 0), (1, 0)]
     arrivals = spark.createDataFrame(log, "url BIGINT, time BIGINT")
     want = sorted((u, t) for u in range(6) for t in greedy([x for k, x in log if k == u], 40))
-    assert values(th.recrawl_throttle(arrivals, 40, max_array), "url", "time") == want
+    assert values(th.recrawl_throttle(arrivals, 40), "url", "time") == want
 
 
-@pytest.mark.parametrize("max_array", [0, 1, 3, 10_000])
-def test_throttle_null_rule(spark, max_array):
+def test_throttle_null_rule(spark):
     log = [("a", 0), ("a", None), ("a", 5), ("a", 50), (None, 3), (None, 10), (None, 60), (None, None), ("b", None)]
     arrivals = spark.createDataFrame(log, "url STRING, time BIGINT")
-    got = {(r.url, r.time) for r in th.recrawl_throttle(arrivals, 40, max_array).collect()}
+    got = {(r.url, r.time) for r in th.recrawl_throttle(arrivals, 40).collect()}
     assert got == {("a", 0), ("a", 50), (None, 3), (None, 60)}
-    assert th.recrawl_throttle(arrivals, 0, max_array).count() == 6
+    assert th.recrawl_throttle(arrivals, 0).count() == 6
+
+
+def test_hot_url_takes_rounds_by_the_log_of_its_accepts(spark, monkeypatch):
+    """A third of the arrivals of one URL, a time to live of one second, gaps and bursts."""
+    second, rng = 1_000_000, random.Random(11)
+    times = [0]
+    for _ in range(3000):
+        times.append(times[-1] + rng.choice([1, 1000, second // 3, second, 2 * second, 50 * second]))
+    log = [("hot", t) for t in times] + [(f"u{i % 900}", rng.randrange(times[-1])) for i in range(6000)]
+    arrivals = spark.createDataFrame(log, "url STRING, time BIGINT").repartition(5)
+    written, keep = [], th._keep
+    monkeypatch.setattr(th, "_keep", lambda df, path: written.append(path) or keep(df, path))
+    by_url = {}
+    for u, t in log:
+        by_url.setdefault(u, []).append(t)
+    want = sorted((u, t) for u, ts in by_url.items() for t in greedy(ts, second))
+    assert values(th.recrawl_throttle(arrivals, second), "url", "time") == want
+    longest = len(greedy(times, second))
+    assert longest > 1000 and len(written) <= 2 * (longest.bit_length() + 1) + 6
+    # The hot URL lies in several ranges.
+    path = f"{tmp_folder(spark)}/next"
+    pointers = th.next_due(arrivals.select(F.struct("url").alias("key"), "time").distinct(), second, path)
+    assert {r.time: r.to for r in pointers.where("key.url = 'hot'").collect()} == {
+        t: min(x for x in times if x >= t + second) for t in times if t + second <= times[-1]
+    }
+    points = spark.read.parquet(f"{path}/points").where("key.url = 'hot'")
+    assert points.select("part").distinct().count() > 2
+
+
+def tmp_folder(spark):
+    return scratch_path(spark, "test")
+
+
+def test_throttle_goes_on_from_earlier_accepts(spark):
+    last = spark.createDataFrame([("a", 100), ("c", 5)], "url STRING, time BIGINT")
+    log = [("a", 90), ("a", 130), ("a", 140), ("a", 150), ("b", 1), ("a", 181)]
+    got = th.recrawl_throttle(spark.createDataFrame(log, "url STRING, time BIGINT"), 40, last)
+    assert values(got, "url", "time") == [("a", 140), ("a", 181), ("b", 1)]
+
+
+def test_stored_gate_equals_replay_and_forgets(spark):
+    rng = random.Random(5)
+    log = [(f"u{rng.choice([0, 0, 0, 1, 2, i])}", 10 * i + rng.randrange(30)) for i in range(600)]
+    store = gate_store(spark, scratch_path(spark, "gate"), buckets=3)
+    seen = []
+    for part in range(4):
+        batch = log[part * 150 : part * 150 + 150]
+        # Within the lateness nothing is lost, if accepts come in time order.
+        batch = sorted(batch, key=lambda r: r[1])
+        batch = [r for r in batch if not seen or r[1] >= max(t for _, t in seen)]
+        seen += batch
+        df = spark.createDataFrame([*batch, (None, 3), ("u1", None)], "url STRING, time BIGINT")
+        late = spark.createDataFrame([("late", -1)], "url STRING, time BIGINT") if part else df.limit(0)
+        accept_batch(store, df.union(late), part, 500, lateness=40)
+        assert accept_batch(store, df, part, 500, lateness=40).last_batch == part
+        if part == 2:
+            merge_gate(store, 500, lateness=40)
+    want = sorted((u, t) for u in {u for u, _ in seen} for t in greedy([t for k, t in seen if k == u], 500))
+    assert values(store.snapshot().rows("accepted"), "url", "time") == want
+    newest = max(t for _, t in seen)
+    merge_gate(store, 500, lateness=40, everything=True)
+    held = values(store.snapshot().rows("last"), "url", "time")
+    assert held and all(t + 500 > newest - 40 for _, t in held) and len(held) < len({u for u, _ in seen})
+    accept_batch(store, spark.createDataFrame([("x", newest + 5000)], "url STRING, time BIGINT"), 9, 500, lateness=40)
+    accept_batch(store, spark.createDataFrame([("x", newest + 6000)], "url STRING, time BIGINT"), 10, 500, lateness=40)
+    accept_batch(store, spark.createDataFrame([("x", newest + 5990)], "url STRING, time BIGINT"), 11, 500, lateness=2000)
+    merge_gate(store, 500, lateness=-500, everything=True)
+    assert store.snapshot().count("last") == 0
+    assert values(store.snapshot().rows("accepted"), "url", "time") == sorted(
+        [*want, ("x", newest + 5000), ("x", newest + 6000)]
+    )
 
 
 def test_streamed_gate_equals_replay(spark, tmp_path):
