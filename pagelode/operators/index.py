@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagelode.functions.folding import folded
 from pagelode.operators.extract import table_lemmas
 
 
@@ -108,6 +109,45 @@ def folded_dictionary(words: DataFrame, collation: str = "UNICODE_CI_AI") -> Dat
     )
 
 
+def fold_keys(words: DataFrame) -> DataFrame:
+    """(key, word): every word under its folded key."""
+    return words.select(folded(F.col("word")).alias("key"), "word").distinct()
+
+
+def folded_edges(edges: DataFrame) -> DataFrame:
+    """Distinct links under the folded key of their target."""
+    return edges.select("link_id_from", folded(F.col("url_to")).alias("url_to")).distinct()
+
+
+def folded_tables(tables: IndexTables) -> IndexTables:
+    """Index tables in which texts that differ in case and accents only are equal.
+
+    Of pages whose URLs have the same key the one with the lowest link_id stays,
+    with its URL as it is spelt; others are not indexed. Words become their
+    keys and their counts on a page add up. A link leads to the page of its
+    target's key, under the spelling of that page; to one that is not indexed
+    it leads under the key.
+    """
+    named = tables.links.withColumn("_key", folded(F.col("url")))
+    first = named.groupBy("_key").agg(F.min("link_id").alias("link_id"))
+    kept = first.select("link_id")
+    links = named.join(kept, "link_id", "left_semi")
+    postings = (
+        tables.postings.join(kept, "link_id", "left_semi")
+        .groupBy(folded(F.col("word")).alias("word"), "link_id")
+        .agg(F.sum("weight").alias("weight"))
+    )
+    edges = folded_edges(tables.edges.join(kept.withColumnRenamed("link_id", "link_id_from"), "link_id_from", "left_semi"))
+    spelt = links.select(F.col("_key").alias("url_to"), "url")
+    return IndexTables(
+        links=links.drop("_key"),
+        postings=postings,
+        edges=edges.join(spelt, "url_to", "left").select(
+            "link_id_from", F.coalesce("url", "url_to").alias("url_to")
+        ),
+    )
+
+
 def index_outcomes(gated: DataFrame, extracted: DataFrame) -> DataFrame:
     """Run statistics (outcome, pages).
 

@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagelode.functions.folding import folded, folded_text
+
 GRAM = 4
 
 # A term is an optional sign, score operators that do not change what matches,
@@ -74,6 +76,24 @@ def match_words(words: DataFrame, query: str) -> DataFrame:
     return words.where(term_filter(F.col("word"), query_terms(query)))
 
 
+def match_words_folded(keys: DataFrame, query: str) -> DataFrame:
+    """Words (key, word) that match one query, whatever the case and the accents of either."""
+    terms = query_terms(folded_text(query))
+    return keys.where(term_filter(F.col("key"), terms))
+
+
+def match_queries_folded(
+    queries: DataFrame, grams: DataFrame, keys: DataFrame, columns: list[str], query: str = "query"
+) -> DataFrame:
+    """(columns, key, word): the words that match each query of a table, folded on either side.
+
+    ``grams`` are the ``word_grams`` of the distinct keys, ``keys`` gives the words of a key.
+    """
+    asked = queries.withColumn(query, folded(F.col(query)))
+    found = match_queries(asked, grams, columns, query).withColumnRenamed("word", "key")
+    return found.join(keys, "key").select(*columns, "key", "word")
+
+
 def word_grams(words: DataFrame) -> DataFrame:
     """Distinct (gram, word), with every 4-gram of every word."""
     starts = F.sequence(F.lit(1), F.length("word") - (GRAM - 1))

@@ -88,6 +88,12 @@ def graph(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def shouted_graph(spark: SparkSession, sf: str) -> DataFrame:
+    """The derived links, those of every other page in capitals."""
+    odd = F.pmod(F.col("link_id_from"), F.lit(2)) == 1
+    return graph(spark, sf).withColumn("url_to", F.when(odd, F.upper("url_to")).otherwise(F.col("url_to")))
+
+
 def linked_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Pages whose HTML holds the derived links as well."""
     anchor = F.concat(F.lit('<a href="'), "url_to", F.lit('"></a>'))

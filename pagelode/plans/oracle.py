@@ -222,6 +222,27 @@ def _suggestions() -> str:
     return _with("wr", "select * from (" + " union all ".join(parts) + ") where pos <= 6")
 
 
+def _folded(x: str) -> str:
+    return f"replace(replace(replace(strip_accents(lower({x})), 'ß', 'ss'), 'œ', 'oe'), 'æ', 'ae')"
+
+
+def _search_folded() -> str:
+    return _with(
+        "wr link graph",
+        f""", wf as (select {_folded('word')} as word, link_id, sum(weight) as weight from wr group by 1, 2),
+        inl2 as (select lower(url_to) as url, count(distinct link_id_from) as inlinks from graph
+          where link_id_from in (select link_id from link) group by 1),
+        len2 as (select link_id, sum(weight) as page_length from wr group by link_id),
+        sel as (select wf.word, wf.link_id, wf.weight, link.url, link.title from wf join link using (link_id)
+          where contains(word, 'schau') and language = 'german')
+        select title, sel.url, word, round((cast(weight as double) / page_length)
+            * ln((select count(*) from wf) / (select count(distinct link_id) from sel)) * 0.6
+          + 0.4 * (ln(cast(inlinks as double)) / nullif(ln((select max(inlinks) from inl2)), 0)), 6) as rank
+        from sel join len2 using (link_id) left join inl2 on inl2.url = lower(sel.url)
+        {_ORDER} limit 1000""",
+    )
+
+
 def _after_batches() -> str:
     """All ranked rows over pages of which some were indexed again with a word more."""
     return _with(
@@ -295,6 +316,26 @@ def oracle_sql() -> dict[str, str]:
                 for i, q, _, _ in SEARCHES
             ),
         ),
+        "match_words_folded": _with(
+            "dict",
+            f"""select key, word from (select {_folded('word')} as key, word from dict), (values (1), (2)) v(n)
+            where case n when 1 then contains(key, 'cion') and not contains(key, 'mente')
+              else contains(key, 'gross') or contains(key, 'chau') end""",
+        ),
+        "match_by_ngrams_folded": _with(
+            "dict",
+            f"""select query_id, key, word from (select {_folded('word')} as key, word from dict), ("""
+            + " union all ".join(
+                f"select cast({i} as bigint) as query_id, k from (select {_folded('word')} as k from dict group by 1) "
+                f"where {_where(q).replace('word', 'k')}"
+                for i, q, _, _ in SEARCHES
+            )
+            + ") where k = key",
+        ),
+        "inlink_count_folded": _with(
+            "graph",
+            "select lower(url_to) as url_to, count(distinct link_id_from) as inlinks from graph group by 1",
+        ),
         "postings_by_word": _with("wr", f"select * from wr where {_hit('word', 'ther')}"),
         "selected_postings": _with(
             "wr link",
@@ -337,6 +378,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "search_batch": _batch(),
         "search_after_batches": _after_batches(),
+        "search_folded": _search_folded(),
         "suggest": _suggestions(),
         "result_anchor": """select url, '<a href="' || url || '">' || url || '</a>' as anchor from pages""",
         "out_links": _with("outl", "select link_id, url_to from outl"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelode.functions import settings, urls
+from pagelode.functions.folding import folded_text
 from pagelode.operators import extract as ex
 from pagelode.operators import gates
 from pagelode.operators import index as ix
@@ -138,6 +139,22 @@ def match_by_ngrams(spark: SparkSession, sf: str) -> DataFrame:
     return match.match_queries(asked, grams, ["query_id"])
 
 
+@query
+def match_words_folded(spark: SparkSession, sf: str) -> DataFrame:
+    """Words with these letters in any case and with any accents."""
+    keys = ix.fold_keys(fx.document_dictionary(spark, sf))
+    return match.match_words_folded(keys, "+CIÖN -ménTE").union(match.match_words_folded(keys, "-zzzz GROSS CHÀU"))
+
+
+@query
+def match_by_ngrams_folded(spark: SparkSession, sf: str) -> DataFrame:
+    """The searches, in capitals and with accents, over the dictionary by its folded grams."""
+    keys = materialize(ix.fold_keys(fx.document_dictionary(spark, sf)), "keys")
+    grams = match.word_grams(keys.select(F.col("key").alias("word")).distinct())
+    asked = fx.searches(spark).select("query_id", F.upper(F.replace("query", F.lit("e"), F.lit("ê"))).alias("query"))
+    return match.match_queries_folded(asked, materialize(grams, "grams"), keys, ["query_id"])
+
+
 # Index tables and statistics
 
 
@@ -159,6 +176,12 @@ def inlink_count(spark: SparkSession, sf: str) -> DataFrame:
     return ix.inlink_count(fx.order_edges(spark, sf))
 
 
+@query
+def inlink_count_folded(spark: SparkSession, sf: str) -> DataFrame:
+    """Backlinks per target, whatever the case in which links spell it."""
+    return ix.inlink_count(ix.folded_edges(fx.shouted_graph(spark, sf)))
+
+
 @query
 def max_inlinks(spark: SparkSession, sf: str) -> DataFrame:
     return ix.max_inlinks(fx.order_edges(spark, sf))
@@ -224,6 +247,15 @@ def search_batch(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(found).withColumn("pos", F.col("pos").cast("bigint"))
 
 
+@query
+def search_folded(spark: SparkSession, sf: str) -> DataFrame:
+    """A page of results of a search that ignores case and accents, in an index that does."""
+    tables = build.build_tables(fx.pages(spark, sf))
+    tables = ix.IndexTables(tables.links, tables.postings, fx.shouted_graph(spark, sf))
+    index = se.search_index(ix.folded_tables(tables))
+    return _rounded(se.search(index, folded_text("SCHÀU üNG"), "german", limit=1000))
+
+
 @query
 def suggest(spark: SparkSession, sf: str) -> DataFrame:
     asked = spark.createDataFrame(
