@@ -132,16 +132,22 @@ def sketches(documents: DataFrame, settings: Settings, doc_id: str = "doc_id", t
 
 
 def _sets(texts: DataFrame, words: int) -> DataFrame:
-    """(node, shingles) with the sorted hashes as bytes, of (node, text)."""
+    """(node, whole, shingles), the sorted hashes as bytes, once per node and set, of (node, text)."""
 
     def run(batches):
         for batch in batches:
-            sets = [shingle_set(t.as_py(), words).tobytes() for t in batch.column(1)]
+            found = {}
+            for node, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                raw = shingle_set(t.as_py(), words).tobytes()
+                found[node, xxhash.xxh3_128_digest(raw)] = raw
+            nodes, wholes = zip(*found, strict=True) if found else ((), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"]
+                [pa.array(nodes, pa.int64()), pa.array(wholes, pa.binary()), pa.array(found.values(), pa.binary())],
+                names=["node", "whole", "shingles"],
             )
 
-    return texts.mapInArrow(run, "node BIGINT, shingles BINARY")
+    # Rows may repeat, and an id may have several texts.
+    return texts.mapInArrow(run, "node BIGINT, whole BINARY, shingles BINARY").dropDuplicates(["node", "whole"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -183,20 +189,26 @@ def _by_rarest(sets: DataFrame, part: DataFrame, percent: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for node, raw in zip(batch.column(0), batch.column(1), strict=True):
+            for node, whole, raw in zip(*batch.columns, strict=True):
                 found = np.frombuffer(raw.as_buffer(), np.int64)
                 n = len(found)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([node.as_py()] * n, pa.int64()), pa.array(found), pa.array([n] * n, pa.int64())],
-                    names=["node", "shingle", "n"],
+                    [
+                        pa.array([node.as_py()] * n, pa.int64()),
+                        pa.array([whole.as_py()] * n, pa.binary()),
+                        pa.array(found),
+                        pa.array([n] * n, pa.int64()),
+                    ],
+                    names=["node", "whole", "shingle", "n"],
                 )
 
-    listed = sets.join(part, "node").select("node", "shingles").mapInArrow(
-        run, "node BIGINT, shingle BIGINT, n BIGINT"
+    listed = sets.join(part, "node").select("node", "whole", "shingles").mapInArrow(
+        run, "node BIGINT, whole BINARY, shingle BIGINT, n BIGINT"
     )
     rarity = listed.groupBy("shingle").agg(F.count(F.lit(1)).alias("rarity"))
-    # A shingle of one node pairs nothing, but holds its place in the order.
-    order = Window.partitionBy("node").orderBy("rarity", "shingle")
+    # A shingle of one set pairs nothing, but holds its place in the order. A node
+    # has as many sets as its id has texts, and each has a prefix of its own.
+    order = Window.partitionBy("node", "whole").orderBy("rarity", "shingle")
     first = (
         listed.join(rarity, "shingle")
         .withColumn("at", F.row_number().over(order))

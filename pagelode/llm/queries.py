@@ -94,6 +94,24 @@ def op5_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(_documents(spark, sf), minhash.Settings(words=3, percent=85))
 
 
+SQL["op5_minhash"] = r"""
+    with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as words from documents),
+    s as (select distinct doc_id, case when len(words) < 3 then array_to_string(words, ' ')
+          else array_to_string(words[i:i + 2], ' ') end as shingle
+      from (select *, unnest(generate_series(1, greatest(1, len(words) - 2))) as i from w where len(words) > 0)),
+    n as (select doc_id, count(*) as n from s group by doc_id),
+    met as (select a.doc_id as a, b.doc_id as b, count(*) as common from s a join s b
+      on a.shingle = b.shingle and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id),
+    link as (select a, b from met join n x on x.doc_id = a join n y on y.doc_id = b
+      where 100 * common >= 85 * (x.n + y.n - common)),
+    walk as (select doc_id, doc_id as other from documents
+      union select v.doc_id, l.b from walk v join link l on l.a = v.other)
+    select d.doc_id, coalesce(any_value(n.n), 0) as n_shingles, min(v.other) as component_id,
+      min(v.other) = d.doc_id as kept
+    from documents d join walk v using (doc_id) left join n using (doc_id) group by d.doc_id"""
+
+
 @query
 def op6_warc(spark: SparkSession, sf: str) -> DataFrame:
     """Archive all pages and tell what the archives hold, read back."""

@@ -84,6 +84,29 @@ def test_hot_groups_lose_no_link(family, monkeypatch, small):
     assert found(minhash.near_duplicates(df, minhash.Settings(3, 85))) == brute(rows, 3, 85)
 
 
+@pytest.mark.parametrize("small", [8, 1])
+@pytest.mark.parametrize("times", [2, 4])
+def test_repeated_rows_lose_no_link(spark, family, monkeypatch, small, times):
+    monkeypatch.setattr(minhash, "SMALL_BAND", small)
+    df, rows = family
+    again = df
+    for _ in range(times - 1):
+        again = again.union(df)
+    got = minhash.near_duplicates(again, minhash.Settings(3, 85)).collect()
+    assert len(got) == times * len(rows)
+    assert {r.doc_id: r.component_id for r in got} == brute(rows, 3, 85)
+
+
+@pytest.mark.parametrize("small", [8, 1])
+def test_ids_with_several_texts_lose_no_link(spark, family, monkeypatch, small):
+    monkeypatch.setattr(minhash, "SMALL_BAND", small)
+    _, rows = family
+    # Ids 0 to 39 have three texts each, of the family and of the others; some rows repeat.
+    both = rows + [(i, rows[150 + i % 50][1]) for i in range(40)] + [(i, rows[40 + i][1]) for i in range(40)] + rows[:30] * 2
+    df = spark.createDataFrame(both, "doc_id BIGINT, text STRING")
+    assert found(minhash.near_duplicates(df, minhash.Settings(3, 85))) == brute(both, 3, 85)
+
+
 def test_near_duplicates_of_odd_rows(odd, empty):
     got = minhash.near_duplicates(odd, minhash.Settings(3, 85)).collect()
     by = {}
