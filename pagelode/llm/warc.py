@@ -30,10 +30,14 @@ LINE_END = b"\r\n"
 RECORD_END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
+# The record type told for what cannot be read.
+BROKEN = "broken"
+
 SEGMENT = 16_384
 CHUNK = 4_096
 LEAST_REVISIT = 1_000
 RECORDS_PER_FILE = 2_000
+_PIECE = 65_536
 _ID = "urn:x-page:"
 
 
@@ -63,7 +67,9 @@ def unchunked(framed: bytes) -> bytes:
 
 
 def http_payload(block: bytes) -> bytes:
-    """The body of an HTTP response, without its transfer framing."""
+    """The body of an HTTP response, without its transfer framing; other blocks as they are."""
+    if not block.startswith(b"HTTP/"):
+        return block
     head, _, body = block.partition(LINE_END * 2)
     fields = head.lower().split(LINE_END)
     is_chunked = any(f.startswith(b"transfer-encoding:") and b"chunked" in f for f in fields)
@@ -199,35 +205,79 @@ def write_archives(
     )
 
 
+def inflated(content: bytes) -> tuple[bytes, bool]:
+    """What a file holds, and whether it is whole: plain, or any number of gzip members.
+
+    The members are read in small pieces, so what is left is not copied per member.
+    """
+    if content[:2] != b"\x1f\x8b":
+        return content, True
+    parts, at = [], 0
+    while at < len(content):
+        stream = zlib.decompressobj(31)
+        while at < len(content) and not stream.eof:
+            piece = content[at : at + _PIECE]
+            at += len(piece)
+            try:
+                parts.append(stream.decompress(piece))
+            except zlib.error:
+                return b"".join(parts), False
+        if not stream.eof:
+            return b"".join(parts), False
+        at -= len(stream.unused_data)
+        # Zeros may fill up what follows a member.
+        while content[at : at + 1] == b"\0":
+            at += 1
+    return b"".join(parts), True
+
+
 def parse_records(content: bytes):
-    """(fields, block) of every record of an archive file."""
-    raw = zlib.decompressobj(47).decompress(content) if content[:2] == b"\x1f\x8b" else content
+    """(fields, block) of every record of an archive file.
+
+    Where the file breaks off, or no record begins, the last pair is (None, b"").
+    """
+    raw, whole = inflated(content)
     at = 0
     while True:
         while raw[at : at + 2] == LINE_END:
             at += 2
         if at >= len(raw):
-            return
-        end = raw.index(LINE_END * 2, at)
+            break
+        end = raw.find(LINE_END * 2, at)
         version, *lines = raw[at:end].split(LINE_END)
-        if not version.startswith(b"WARC/"):
-            raise ValueError("no record begins here")
         fields = {}
         for line in lines:
             name, _, value = line.partition(b":")
-            fields[name.strip().lower().decode()] = value.strip().decode()
+            fields[name.strip().lower().decode(errors="replace")] = value.strip().decode(errors="replace")
+        length = fields.get("content-length", "")
         start = end + 4
-        at = start + int(fields["content-length"])
-        if at > len(raw):
-            raise ValueError("a record is cut short")
+        if end < 0 or not version.startswith(b"WARC/") or not length.isdecimal() or start + int(length) > len(raw):
+            whole = False
+            break
+        at = start + int(length)
         yield fields, raw[start:at]
+    if not whole:
+        yield None, b""
+
+
+def told_digest(field: str | None) -> str | None:
+    """The SHA-1 a digest field tells, in hex; None for other algorithms and broken fields."""
+    algorithm, _, digest = (field or "").partition(":")
+    if algorithm.lower() != "sha1":
+        return None
+    if len(digest) == 40:
+        return digest.lower()
+    try:
+        return base64.b32decode(digest.upper()).hex()
+    except ValueError:
+        return None
 
 
 def _page_of(identifier: str | None) -> int | None:
     if not identifier or not identifier.startswith(f"<{_ID}"):
         return None
     number = identifier[1 + len(_ID) : -1].split(":")[0]
-    return None if number == "null" else int(number)
+    return int(number) if number.lstrip("-").isdecimal() else None
 
 
 _PARSED = """record_id STRING, page_id BIGINT, record_type STRING, refers_to BIGINT, told STRING,
@@ -247,28 +297,38 @@ _PARSED_ARROW = pa.schema(
 )
 
 
-def _parsed(fields: dict[str, str], block: bytes) -> tuple:
-    kind = fields["warc-type"]
-    digest = fields.get("warc-payload-digest", "").partition(":")[2]
+def _number(value: str | None) -> int | None:
+    return int(value) if value and value.isdecimal() else None
+
+
+def _parsed(fields: dict[str, str] | None, block: bytes) -> tuple:
+    if fields is None:
+        return None, None, BROKEN, None, None, None, None, None, b""
+    kind = fields.get("warc-type")
     length = None
     if kind == "revisit":
-        heads = dict(line.partition(b":")[::2] for line in block.split(LINE_END))
-        length = int(heads[b"Content-Length"]) if b"Content-Length" in heads else None
-    number = fields.get("warc-segment-number")
-    total = fields.get("warc-segment-total-length")
+        heads = dict(line.lower().partition(b":")[::2] for line in block.split(LINE_END))
+        length = _number(heads.get(b"content-length", b"").strip().decode(errors="replace"))
     return (
-        fields.get("warc-segment-origin-id") or fields["warc-record-id"],
-        _page_of(fields["warc-record-id"]),
+        fields.get("warc-segment-origin-id") or fields.get("warc-record-id"),
+        _page_of(fields.get("warc-record-id")),
         kind,
         _page_of(fields.get("warc-refers-to")),
-        base64.b32decode(digest).hex() if digest else None,
+        told_digest(fields.get("warc-payload-digest")),
         length,
-        int(number) if number else None,
-        int(total) if total else None,
+        _number(fields.get("warc-segment-number")),
+        _number(fields.get("warc-segment-total-length")),
         block,
     )
 
 
+def _is_segment(fields: dict[str, str] | None) -> bool:
+    """Of a record in segments that can be found again; without an id it stands alone."""
+    if fields is None or "warc-segment-number" not in fields:
+        return False
+    return "warc-segment-origin-id" in fields or "warc-record-id" in fields
+
+
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row per logical record: record_id, page_id, record_type, refers_to,
     payload_bytes, payload_digest, complete and payload.
@@ -278,6 +338,13 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     false, and the payload null, where segments are missing, their length is not
     the total told, the framing is broken or the digest differs from the told
     one. Only segmented records are shuffled. A group is one record.
+
+    Files are plain or gzip, with one member or one per record. A file that
+    breaks off, in a member or in a record, or goes on with something else gives
+    the records before that point and one more row, not complete, of the record
+    type ``broken``. A digest that is not SHA-1 is not checked. A record without
+    an id has a null one; without a type, a null type. A block that is no HTTP
+    response is its own payload.
     """
     files = spark.read.format("binaryFile").load(path).select("content")
 
@@ -285,7 +352,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for content in batch.column(0):
                 for fields, block in parse_records(content.as_py()):
-                    if ("warc-segment-number" in fields) == segmented:
+                    if _is_segment(fields) == segmented:
                         yield _parsed(fields, block)
 
     def segments(batches):
@@ -297,34 +364,28 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
             yield _rows([_decoded(*r) for r in some], _READ_ARROW)
 
     parts = files.mapInArrow(segments, _PARSED)
-    # Records of 16 KiB and less, in the order of their numbers.
-    joined = (
-        parts.groupBy("record_id")
-        .agg(
-            F.max(F.when(F.col("segment") == 1, F.col("page_id"))).alias("page_id"),
-            F.max(F.when(F.col("segment") == 1, F.col("record_type"))).alias("record_type"),
-            F.max("refers_to").alias("refers_to"),
-            F.max("told").alias("told"),
-            F.lit(None).cast("bigint").alias("length"),
-            F.max("segment").alias("segment"),
-            F.max("total").alias("total"),
-            F.array_sort(F.collect_list(F.struct("segment", "block"))).alias("parts"),
-        )
-        .withColumn("block", F.expr("aggregate(parts, cast('' as binary), (all, x) -> concat(all, x.block))"))
-        .withColumn(
-            "total",
-            F.when(
-                (F.size("parts") == F.col("segment")) & (F.octet_length("block") == F.col("total")), F.col("total")
-            ).otherwise(F.lit(-1)),
-        )
-        .select(*parts.columns)
+    first = F.col("segment") == 1
+    # Segments of 16 KiB and less; their order and length are checked where they are joined.
+    joined = parts.groupBy("record_id").agg(
+        F.max(F.when(first, F.col("page_id"))).alias("page_id"),
+        F.max(F.when(first, F.col("record_type"))).alias("record_type"),
+        F.max("refers_to").alias("refers_to"),
+        F.max("told").alias("told"),
+        F.max("length").alias("length"),
+        F.max("total").alias("total"),
+        F.array_sort(F.collect_list(F.struct("segment", "block"))).alias("parts"),
     )
 
     def decode(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
-                rows = batch.slice(at, 64).to_pylist()
-                yield _rows([_decoded(*r.values()) for r in rows], _READ_ARROW)
+                found = []
+                for *told, length, total, listed in zip(*batch.slice(at, 64).to_pydict().values(), strict=True):
+                    block = b"".join(p["block"] for p in listed)
+                    gapless = [p["segment"] for p in listed] == list(range(1, len(listed) + 1))
+                    total = total if gapless and len(block) == total else -1
+                    found.append(_decoded(*told, length, None, total, block))
+                yield _rows(found, _READ_ARROW)
 
     return files.mapInArrow(whole, _READ).union(joined.mapInArrow(decode, _READ))
 
@@ -332,7 +393,10 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 def _decoded(record_id, page_id, record_type, refers_to, told, length, segment, total, block) -> tuple:
     """A logical record as a result row; ``total`` is -1 if its segments do not add up."""
     payload, digest, complete = None, told, True
-    if record_type != "revisit":
+    # One segment that stands alone is not the record.
+    if record_type == BROKEN or segment is not None:
+        complete = False
+    elif record_type != "revisit":
         try:
             payload = http_payload(block) if total != -1 else None
         except ValueError:
@@ -341,7 +405,8 @@ def _decoded(record_id, page_id, record_type, refers_to, told, length, segment,
             length, digest = len(payload), hashlib.sha1(payload).hexdigest()
         complete = payload is not None and told in (None, digest)
         payload = payload if complete else None
-    return record_id[1:-1], page_id, record_type, refers_to, length, digest, complete, payload
+    name = record_id[1:-1] if record_id and record_id[0] == "<" else record_id
+    return name, page_id, record_type, refers_to, length, digest, complete, payload
 
 
 _READ = """record_id STRING, page_id BIGINT, record_type STRING, refers_to BIGINT,
