@@ -464,6 +464,23 @@ def oracle_sql() -> dict[str, str]:
             "dict tok",
             "select word from dict where length(word) < 10 or word in (select word from tok)",
         ),
+        "store_upsert_delete": _with(
+            "graph accepted titles timed tok",
+            f""", edge0 as (select * from graph where link_id_from in (select page_id from accepted)),
+            edge as (select * from edge0 union select t.page_id, f.url from edge0 g
+              join accepted t on t.url = g.url_to join pages f on f.page_id = g.link_id_from)
+            select 'link' as name, t.link_id as id,
+              case when a.page_id is null then '1 ' || t.title else t.title end as value
+            from titles t left join accepted a on a.page_id = t.link_id
+            where t.link_id % 2 <> 1 or t.link_id in (select link_id_from from edge)
+            union all select 'edge', link_id_from, url_to from edge
+            union all select 'time', t.link_id, cast(case when a.page_id is not null
+                then epoch_us(timestamp '{NOW}') // 1000000 else {_EPOCH} end as varchar)
+              from timed t left join accepted a on a.page_id = t.link_id
+              where a.page_id is not null or t.indexed_at is not null
+            union all select 'word', cast(null as bigint), word from (select distinct word from tok)
+              where length(word) < 8 or word in (select word from tok where id in (select page_id from accepted))""",
+        ),
         "seed_if_empty": _with(
             "accepted",
             f"""select 'empty' as before, url from pages union all select 'empty', {_HOST} from pages

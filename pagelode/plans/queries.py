@@ -22,6 +22,7 @@ from pagelode.plans import fixtures as fx
 from pagelode.plans import live
 from pagelode.session import materialize, scratch_path
 from pagelode.sources.pages import list_rows
+from pagelode.sources.segments import SegmentStore, Table
 from pagelode.sources.store import IndexStore
 from pagelode.streaming import gate as gt
 from pagelode.streaming.index_stream import stream_index as start_stream
@@ -436,6 +437,81 @@ def delete_by_key(spark: SparkSession, sf: str) -> DataFrame:
     return ma.delete_by_key(table, doomed, ["word"], [(used, "word")])
 
 
+# Fixed: the tables of the upkeep query.
+_UPKEPT = {
+    "link": Table("link_id BIGINT, title STRING", ("link_id",), "link_id"),
+    "edge": Table("link_id_from BIGINT, url_to STRING", ("link_id_from", "url_to"), "link_id_from"),
+    "time": Table("link_id BIGINT, seconds BIGINT", ("link_id",), "link_id", "last"),
+    "word": Table("word STRING", ("word",), "word"),
+    "used": Table("word STRING", ("word",), "word", "set"),
+}
+
+
+@query
+def store_upsert_delete(spark: SparkSession, sf: str) -> DataFrame:
+    """All rows of stored tables after inserts, an upsert, a touch and deletes, a commit each.
+
+    Stored first are the HTML pages, their links, the index times, the words of
+    all pages and those in use on HTML pages. Then: the reversed links, of stored
+    pages only; titles of all pages, where stored ones stay, and new times of the
+    HTML pages; without the pages of odd ids, unless they have links, and
+    without the longer words, unless they are in use.
+    """
+    store = SegmentStore(spark, scratch_path(spark, "upkeep"), _UPKEPT, buckets=8)
+    html_pages = gates.mime_filter(fx.typed_pages(spark, sf)).select(F.col("page_id").alias("link_id"))
+    nodes = fx.pages(spark, sf).select(F.col("page_id").alias("link_id"), "url")
+    titles = ex.page_text(fx.pages(spark, sf)).select("link_id", "title")
+    words = fx.page_tokens(spark, sf).select("link_id", F.explode("words").alias("word"))
+    edges = fx.graph(spark, sf).join(
+        html_pages.withColumnRenamed("link_id", "link_id_from"), "link_id_from", "left_semi"
+    )
+    times = fx.link_table(spark, sf).where("indexed_at is not null")
+    base = store.commit(
+        store.snapshot(),
+        {
+            "link": titles.join(html_pages, "link_id", "left_semi"),
+            "edge": edges,
+            "time": times.select("link_id", _seconds("indexed_at").alias("seconds")),
+            "word": words.select("word").distinct(),
+            "used": words.join(html_pages, "link_id", "left_semi").select("word").distinct(),
+        },
+    )
+    reverse = (
+        edges.join(nodes.toDF("target_id", "url_to"), "url_to")
+        .join(nodes.withColumnRenamed("link_id", "link_id_from"), "link_id_from")
+        .select(F.col("target_id").alias("link_id_from"), F.col("url").alias("url_to"), F.lit(0).alias("pos"))
+    )
+    new_edges = store.insert_ignore(base, "edge", reverse, "pos", [("link", "link_id", "link_id_from")])
+    base = store.commit(base, {"edge": new_edges})
+
+    entered = titles.withColumn("pos", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn(
+        "title", F.concat(F.col("pos").cast("string"), F.lit(" "), "title")
+    )
+    now = F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', TIMESTAMP_NTZ'{fx.NOW}')")
+    base = store.commit(
+        base,
+        {
+            "link": store.insert_ignore(base, "link", entered, "pos"),
+            "time": html_pages.select("link_id", now.alias("seconds")),
+        },
+    )
+    gone = store.deletions(base, "link", nodes.where("link_id % 2 = 1"), [("edge", "link_id_from")])
+    long = words.where(F.length("word") >= 8)
+    base = store.commit(base, gone | store.deletions(base, "word", long, [("used", "word")]))
+    base = store.merge(base, store.due(base))
+
+    def told(name: str, number: Column, text: Column) -> DataFrame:
+        return base.rows(name).select(F.lit(name).alias("name"), number.alias("id"), text.alias("value"))
+
+    none = F.lit(None).cast("bigint")
+    return (
+        told("link", F.col("link_id"), F.col("title"))
+        .union(told("edge", F.col("link_id_from"), F.col("url_to")))
+        .union(told("time", F.col("link_id"), F.col("seconds").cast("string")))
+        .union(told("word", none, F.col("word")))
+    )
+
+
 @query
 def seed_if_empty(spark: SparkSession, sf: str) -> DataFrame:
     """The setting over a table that turns out empty and over one that has rows."""
