@@ -222,6 +222,24 @@ def _suggestions() -> str:
     return _with("wr", "select * from (" + " union all ".join(parts) + ") where pos <= 6")
 
 
+def _reachable() -> str:
+    return _with(
+        "accepted graph domains starts",
+        "select link_id, min(level) as level from walk group by link_id",
+        recursive=f"""hops as (select g.link_id_from, a.page_id as link_id from graph g
+            join accepted a on a.url = g.url_to
+            where exists (select 1 from domains d
+              where {_HOST.replace('url', 'a.url')} = d.domain
+              or {_HOST.replace('url', 'a.url')} like '%.' || d.domain)),
+          walk as (
+            select a.page_id as link_id, cast(0 as bigint) as level
+            from accepted a join starts s on s.url = a.url
+            union
+            select h.link_id, w.level + 1 from walk w join hops h on h.link_id_from = w.link_id
+            where w.level < (select count(*) from accepted))""",
+    )
+
+
 def _folded(x: str) -> str:
     return f"replace(replace(replace(strip_accents(lower({x})), 'ß', 'ss'), 'œ', 'oe'), 'æ', 'ae')"
 
@@ -393,21 +411,8 @@ def oracle_sql() -> dict[str, str]:
             """select url_to as url from outl union select url_to from graph
             except select url from pages""",
         ),
-        "reachable_pages": _with(
-            "accepted graph domains starts",
-            "select link_id, min(level) as level from walk group by link_id",
-            recursive=f"""hops as (select g.link_id_from, a.page_id as link_id from graph g
-                join accepted a on a.url = g.url_to
-                where exists (select 1 from domains d
-                  where {_HOST.replace('url', 'a.url')} = d.domain
-                  or {_HOST.replace('url', 'a.url')} like '%.' || d.domain)),
-              walk as (
-                select a.page_id as link_id, cast(0 as bigint) as level
-                from accepted a join starts s on s.url = a.url
-                union
-                select h.link_id, w.level + 1 from walk w join hops h on h.link_id_from = w.link_id
-                where w.level < (select count(*) from accepted))""",
-        ),
+        "reachable_pages": _reachable(),
+        "reach_delta": _reachable(),
         "mime_filter": _with("accepted", "select page_id, content_type from accepted"),
         "index_age": _with(
             "outl graph timed",
@@ -524,6 +529,7 @@ def oracle_sql() -> dict[str, str]:
             """select word, link_id, weight from wr union all select 'zzzq', page_id, 1
             from pages where page_id not in (select page_id from accepted)""",
         ),
+        "new_url_runs": _with("outl", "select url_to as url, min(link_id % 3) as run from outl group by url_to"),
         "new_url_stream": _with("outl", "select distinct url_to as url from outl"),
         "fold_words": _with(
             "dict",

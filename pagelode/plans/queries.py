@@ -14,6 +14,7 @@ from pagelode.operators import links as li
 from pagelode.operators import maintain as ma
 from pagelode.operators import match
 from pagelode.operators import search as se
+from pagelode.operators.reach import extend_reach, reach_store
 from pagelode.operators.reach import reachable_pages as reach
 from pagelode.operators.suggest import suggest as suggest_words
 from pagelode.operators.throttle import recrawl_throttle as throttle
@@ -28,6 +29,7 @@ from pagelode.streaming import gate as gt
 from pagelode.streaming.index_stream import stream_index as start_stream
 from pagelode.streaming.index_stream import stream_live_index as start_live_stream
 from pagelode.streaming.seen import new_url_stream as first_rows
+from pagelode.streaming.seen import seen_store, stream_new_urls
 
 REGISTERED = {}
 
@@ -308,6 +310,24 @@ def reachable_pages(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def reach_delta(spark: SparkSession, sf: str) -> DataFrame:
+    """Reached pages after three batches of pages, links and start URLs, each extending the last."""
+    link = gates.mime_filter(fx.typed_pages(spark, sf)).select(F.col("page_id").alias("link_id"), "url")
+    edges, start, domains = fx.graph(spark, sf), fx.start_urls(spark, sf), fx.allowed_domains(spark, sf)
+    store = reach_store(spark, scratch_path(spark, "reach"), buckets=8)
+    for i in range(3):
+        extend_reach(
+            store,
+            link.where(F.pmod("link_id", F.lit(3)) == i),
+            edges.where(F.pmod("link_id_from", F.lit(3)) == (i + 1) % 3),
+            start.where(F.pmod("id", F.lit(3)) == (i + 2) % 3),
+            i,
+            domains,
+        )
+    return store.snapshot().rows("reached").select("link_id", F.col("level").cast("bigint").alias("level"))
+
+
 # Gates
 
 
@@ -665,3 +685,17 @@ def new_url_stream(spark: SparkSession, sf: str) -> DataFrame:
     )
     run.awaitTermination()
     return spark.read.schema("url STRING").parquet(f"{path}/out")
+
+
+@query
+def new_url_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Every link target with the run that met it first: three deliveries, one run of the stream each."""
+    path = scratch_path(spark, "runs")
+    found = ex.page_links(fx.pages(spark, sf))
+    store = seen_store(spark, f"{path}/store", buckets=8)
+    for i in range(3):
+        some = found.where(F.pmod("link_id", F.lit(3)) == i)
+        some.select(F.col("url_to").alias("url")).write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema("url STRING").parquet(f"{path}/in")
+        stream_new_urls(stream, store, f"{path}/checkpoint").awaitTermination()
+    return store.snapshot().rows("seen").select("url", F.col("batch_id").alias("run"))
