@@ -240,6 +240,39 @@ def _reachable() -> str:
     )
 
 
+# Stop-word languages of the documents, their grams, and the likeliest language by grams.
+_PROFILES = f""", dtok as (select id, word from (select doc_id as id, {_TOKENS} as word from documents)
+      where {_IS_WORD}),
+    voted as (select d.doc_id, coalesce(l.language, 'unknown') as language
+      from documents d left join {_language('dtok')} l on l.id = d.doc_id),
+    marked as (select id, '^' || word || '$' as m from dtok),
+    dgram as (select id, substr(m, i, 3) as gram from (
+      select id, m, unnest(generate_series(1, length(m) - 2)) as i from marked)),
+    counts as (select id, gram, count(*) as n from dgram group by id, gram),
+    profile as (select gram, language, sum(n) as seen from counts join voted on doc_id = id
+      where language <> 'unknown' group by gram, language),
+    sizes as (select language, sum(seen) as size, (select count(distinct gram) from profile) as known
+      from profile group by language),
+    scored as (select c.id, z.language, sum(c.n * ln(coalesce(p.seen, 0) + 1.0) - c.n * ln(z.size + z.known)) as score
+      from counts c, sizes z left join profile p on p.gram = c.gram and p.language = z.language
+      group by c.id, z.language),
+    likeliest as (select id, first(language order by score desc, language) as language from scored group by id)"""
+
+
+def _learned_lemmas() -> str:
+    return _with(
+        "tok",
+        """, pair as (select distinct a.word as surface, b.word as lemma from tok a join tok b on a.word = b.word || 'ly'),
+        told as (select surface, right(surface, size) as ending, 2 as cut, '' as added
+          from pair, (select unnest([2, 3, 4, 5]) as size) where size <= length(surface)),
+        rule as (select ending from told group by ending having count(*) >= 2),
+        asked as (select distinct word from tok)
+        select 'english' as lang, word, case when length(word) > 2 and exists (select 1 from rule
+            where ending in (right(word, 2), right(word, 3), right(word, 4), right(word, 5)))
+          then left(word, length(word) - 2) else word end as lemma from asked""",
+    )
+
+
 def _folded(x: str) -> str:
     return f"replace(replace(replace(strip_accents(lower({x})), 'ß', 'ss'), 'œ', 'oe'), 'æ', 'ae')"
 
@@ -307,6 +340,14 @@ def oracle_sql() -> dict[str, str]:
             select d.doc_id, coalesce(l.language, 'unknown') as language
             from documents d left join {_language('dtok')} l on l.id = d.doc_id""",
         ),
+        "detect_language_profiles": _with(
+            "stops",
+            _PROFILES
+            + """ select doc_id, case when v.language <> 'unknown' then v.language
+              else coalesce(l.language, 'unknown') end as language from voted v left join likeliest l on l.id = v.doc_id""",
+        ),
+        "score_language_profiles": _with("stops", _PROFILES + " select id as doc_id, language from likeliest"),
+        "learned_lemmas": _learned_lemmas(),
         "term_frequency": _with("wr", "select word, link_id, weight from wr"),
         "page_length": _with("len", "select link_id, page_length from len"),
         "dictionary": _with("wr", "select distinct word from wr"),

@@ -13,6 +13,7 @@ from pagelode.operators import index as ix
 from pagelode.operators import links as li
 from pagelode.operators import maintain as ma
 from pagelode.operators import match
+from pagelode.operators import profiles as pr
 from pagelode.operators import search as se
 from pagelode.operators.reach import extend_reach, reach_store
 from pagelode.operators.reach import reachable_pages as reach
@@ -82,6 +83,27 @@ def detect_language(spark: SparkSession, sf: str) -> DataFrame:
     return ex.detect_language(fx.document_words(spark, sf)).select("doc_id", "language")
 
 
+@query
+def detect_language_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Languages by stop words, and by letter grams where no stop word tells one."""
+    told = ex.detect_language(fx.document_words(spark, sf)).select("doc_id", "words", "language")
+    return pr.settle_languages(materialize(told, "languages"), "doc_id")
+
+
+@query
+def score_language_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Languages of all documents by letter grams alone, learned from those with stop words."""
+    told = materialize(ex.detect_language(fx.document_words(spark, sf)).select("doc_id", "words", "language"), "languages")
+    return pr.score_languages(told.select("doc_id", "words"), pr.language_profiles(told), "doc_id")
+
+
+@query
+def learned_lemmas(spark: SparkSession, sf: str) -> DataFrame:
+    """Lemmas of all page words by rules that were learned from the lemma table."""
+    words = fx.page_tokens(spark, sf).select(F.lit("english").alias("lang"), F.explode("words").alias("word"))
+    return pr.apply_lemma_rules(words, pr.lemma_rules(fx.lemma_table(spark, sf)))
+
+
 @query
 def term_frequency(spark: SparkSession, sf: str) -> DataFrame:
     return fx.postings(spark, sf)
