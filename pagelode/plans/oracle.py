@@ -273,6 +273,19 @@ def _learned_lemmas() -> str:
     )
 
 
+def _query_df(columns: str) -> str:
+    return _with(
+        "wr link",
+        f"select {columns} from ("
+        + " union all ".join(
+            f"""select cast({i} as bigint) as query_id, count(distinct link_id) as pages
+            from wr join link using (link_id) where {_where(q)} and language = '{lang}'"""
+            for i, q, lang, _ in SEARCHES
+        )
+        + ") where pages > 0",
+    )
+
+
 def _folded(x: str) -> str:
     return f"replace(replace(replace(strip_accents(lower({x})), 'ß', 'ss'), 'œ', 'oe'), 'æ', 'ae')"
 
@@ -415,16 +428,8 @@ def oracle_sql() -> dict[str, str]:
             group by s.link_id""",
         ),
         "corpus_stats": _with("stats", "select pairs, max_inlinks from stats"),
-        "query_df": _with(
-            "wr link",
-            "select * from ("
-            + " union all ".join(
-                f"""select cast({i} as bigint) as query_id, count(distinct link_id) as pages
-                from wr join link using (link_id) where {_where(q)} and language = '{lang}'"""
-                for i, q, lang, _ in SEARCHES
-            )
-            + ") where pages > 0",
-        ),
+        "query_df": _query_df("*"),
+        "query_df_sketched": _query_df("query_id, pages, true as close"),
         "search": _search(_hit("word", "ther"), 0.6, 10),
         "search_page2": _search(_hit("word", "ther"), 0.8, 10, 10),
         "search_null_ranks": _search(_hit("word", "erth"), 0.6, 1000),
@@ -499,6 +504,11 @@ def oracle_sql() -> dict[str, str]:
             where not exists (select 1 from graph o
               where o.link_id_from = t.page_id and o.url_to = f.url)""",
         ),
+        "insert_ignore_max_len": _with(
+            "accepted",
+            """select left(url, 30) as url, min(page_id) as pos from pages
+            where left(url, 30) not in (select left(url, 30) from accepted) group by 1""",
+        ),
         "upsert_keep_first": _with(
             "titles accepted",
             """select t.link_id, t.url,

@@ -234,6 +234,21 @@ def query_df(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def query_df_sketched(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the sketched page count of each search is the exact one but for four standard errors."""
+    index, asked = fx.index(spark, sf), fx.searches(spark)
+    halves = [index.postings.where(F.pmod("link_id", F.lit(2)) == i) for i in range(2)]
+    sketches = se.merge_sketches(se.page_sketches(halves[0]).union(se.page_sketches(halves[1])))
+    matched = match.match_queries(asked, index.grams, ["query_id"], counts=index.gram_counts)
+    about = se.approximate_pages(sketches, asked, matched).withColumnRenamed("pages", "about")
+    exact = query_df(spark, sf)
+    bound = F.greatest(F.lit(1.0), 4 * 1.04 / 2 ** (se.SKETCH_BITS / 2) * F.col("pages"))
+    return exact.join(about, "query_id", "full").select(
+        "query_id", "pages", (F.abs(F.col("about") - F.col("pages")) <= bound).alias("close")
+    )
+
+
 # Search and suggestions
 
 
@@ -446,6 +461,14 @@ def insert_ignore(spark: SparkSession, sf: str) -> DataFrame:
     ).select("link_id_from", "url_to")
 
 
+@query
+def insert_ignore_max_len(spark: SparkSession, sf: str) -> DataFrame:
+    """All URLs as keys of 30 characters at most, into a table that holds those of the HTML pages."""
+    stored = gates.mime_filter(fx.typed_pages(spark, sf)).select(F.left("url", F.lit(30)).alias("url"))
+    rows = fx.pages(spark, sf).select("url", F.col("page_id").alias("pos"))
+    return ma.insert_ignore(stored.distinct(), rows, ["url"], "pos", max_len=30)
+
+
 def _title_updates(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     titles = ex.page_text(fx.pages(spark, sf)).select("link_id", "url", "title")
     html_pages = gates.mime_filter(fx.typed_pages(spark, sf)).select(

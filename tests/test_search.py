@@ -177,3 +177,31 @@ def test_a_build_is_a_version_and_a_failed_one_is_not_seen(spark, tmp_path):
         assert store.current_version() == expected
     assert rows(se.search(store.search_index(), "sear", "english")) == before
     assert sorted(store._versions()) == [2, 3]
+
+
+def test_sketched_page_counts(spark):
+    """Within four standard errors of the exact count, whatever the parts the sketches are made of."""
+    postings = spark.range(60_000).selectExpr(
+        "array('often', 'rare', 'other')[if(id % 5 < 3, 0, if(id % 500 = 4, 1, 2))] as word",
+        "if(id % 2 = 0, 'english', 'german') as language",
+        "id % 50000 as link_id",
+    )
+    parts = [postings.where(f"link_id % 3 = {i}") for i in range(3)] + [postings.where("link_id < 9000")]
+    merged = se.merge_sketches(
+        se.page_sketches(parts[0]).union(se.page_sketches(parts[1])).union(se.page_sketches(parts[2])).union(se.page_sketches(parts[3]))
+    )
+    queries = spark.createDataFrame([(1, "english"), (2, "german"), (3, "english")], "query_id BIGINT, language STRING")
+    words = [(1, "often"), (1, "other"), (2, "often"), (2, "none"), (3, "none")]
+    matched = spark.createDataFrame(words, "query_id BIGINT, word STRING")
+    exact = {
+        i: postings.where(f"language = '{lang}' and word in ({names})").select("link_id").distinct().count()
+        for i, lang, names in ((1, "english", "'often', 'other'"), (2, "german", "'often'"))
+    }
+    for sketches in (merged, se.page_sketches(postings)):
+        got = {r.query_id: r.pages for r in se.approximate_pages(sketches, queries, matched).collect()}
+        assert set(got) == {1, 2}
+        for i, n in exact.items():
+            assert n > 10_000 and abs(got[i] - n) <= 4 * 1.04 / 2**6 * n
+    few = se.approximate_pages(merged, queries, spark.createDataFrame([(1, "rare")], "query_id BIGINT, word STRING"))
+    rare = postings.where("language = 'english' and word = 'rare'").select("link_id").distinct().count()
+    assert [r.pages for r in few.collect()] == [rare]
