@@ -178,18 +178,21 @@ def _shape(classes: str) -> str:
     if found is None:
         if len(_SHAPES) > 200_000:
             _SHAPES.clear()
-        found = _SHAPES[classes] = "".join(
-            c for c, before in zip(classes, " " + classes, strict=False) if c != before
-        )[:64]
+        found = "".join(c for c, before in zip(classes, " " + classes, strict=False) if c != before)
+        # Words that are long are too many to keep.
+        if len(classes) <= 64:
+            _SHAPES[classes] = found
     return found
 
 
 def _bucket(name: str, buckets: int) -> int:
     found = _BUCKET_OF.get((name, buckets))
     if found is None:
+        found = zlib.crc32(name.encode()) % buckets
         if len(_BUCKET_OF) > 200_000:
             _BUCKET_OF.clear()
-        found = _BUCKET_OF[name, buckets] = zlib.crc32(name.encode()) % buckets
+        if len(name) <= 72:
+            _BUCKET_OF[name, buckets] = found
     return found
 
 
@@ -266,9 +269,9 @@ def fit_quality(
     """Fit the label model on the votes of all documents and the scorer on a sample.
 
     The sample is the documents whose hashed ids fall below a bound that lets
-    about ``sample`` rows pass; their features come to the driver, not their
-    texts. An empty table gives a model that lets
-    everything with a word pass.
+    about ``sample`` rows pass, rows that repeat an id and its text once; their
+    features come to the driver, not their texts. An empty table gives a model
+    that lets everything with a word pass.
     """
     told = label_votes(documents, doc_id=doc_id, text=text)
     patterns = told.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()
@@ -280,7 +283,12 @@ def fit_quality(
 
     total = sum(r.n for r in patterns)
     below = int(min(1.0, sample / total) * (1 << 32))
-    chosen = documents.where(F.pmod(F.xxhash64(F.lit("quality"), documents[doc_id], documents[text]), F.lit(1 << 32)) < below)
+    drawn_by = F.xxhash64(F.lit("quality"), documents[doc_id], documents[text]).alias("_drawn")
+    chosen = documents.select(drawn_by, documents[text].alias("_text")).where(
+        F.pmod("_drawn", F.lit(1 << 32)) < below
+    )
+    # Without this, a row on a third of the table would be as many rows of the sample.
+    chosen = chosen.dropDuplicates(["_drawn"])
 
     def run(batches):
         for batch in batches:
@@ -300,7 +308,7 @@ def fit_quality(
                 names=["at", "values", "votes"],
             )
 
-    rows = chosen.select(documents[text]).mapInArrow(run, "at ARRAY<INT>, values ARRAY<DOUBLE>, votes ARRAY<INT>")
+    rows = chosen.select("_text").mapInArrow(run, "at ARRAY<INT>, values ARRAY<DOUBLE>, votes ARRAY<INT>")
     drawn = sorted(r for r in rows.collect() if r["at"])
     if not drawn:
         return QualityModel(model, Scorer(np.zeros(BUCKETS), 1.0), threshold)

@@ -77,6 +77,22 @@ def test_quality_against_labels(spark, larger):
     assert sum(of[1]) >= 0.99 * len(of[1]) and sum(of[0]) <= 0.05 * len(of[0])
 
 
+def test_repeated_rows_are_drawn_once(spark, monkeypatch):
+    drawn, train = [], quality.train_scorer
+    monkeypatch.setattr(quality, "train_scorer", lambda rows, good: drawn.append(len(rows)) or train(rows, good))
+    text = "some words and others that are repeated here and there in a row of many"
+    rows = [(7, text)] * 300 + [(None, text)] * 50 + [(i, f"{text} {i}") for i in range(100)]
+    quality.fit_quality(spark.createDataFrame(rows, "doc_id BIGINT, text STRING"), sample=10_000)
+    assert drawn == [102]
+
+
+def test_shapes_of_long_words_are_whole():
+    long = "a1" * 5000
+    at, values = quality.features(f"{long}B {long}b")
+    assert len(at) == 4 and quality._shape("a0" * 5000) == "a0" * 5000
+    assert max(map(len, quality._SHAPES), default=0) <= 64
+
+
 def test_quality_of_odd_rows(odd, empty):
     model = quality.fit_quality(odd)
     got = quality.score_quality(odd, model).collect()
