@@ -36,6 +36,7 @@ _HREF = (
 )
 _BASE = rf"(?is)<base\s[^>]*?href\s*+=\s*+{_VALUE}"
 
+# Fixed value: runs of characters that become one space.
 _CONTROL = r"[\p{Cc}\p{Cs}]+"
 
 # HTML 4 character entities: the standard library's table, plus "apos".

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelode.functions import words
+from pagelode.functions.folding import folded
 from pagelode.operators import extract as ex
 from pagelode.operators import gates
 from pagelode.operators import index as ix
@@ -102,22 +103,38 @@ def index_pages(
     ttl_seconds: int = 0,
     languages=words.LANGUAGES,
     lemma_table: DataFrame | None = None,
+    fold: bool = False,
 ) -> Snapshot:
     """Index a batch of pages; the snapshot returned can be searched.
 
     Batches are numbered upwards. One that is not above the last committed one
     was committed before and changes nothing, so a batch may be run again.
+
+    With ``fold``, words and URLs that differ in case and accents only are
+    equal: words are stored as their keys, for queries that were folded too, and
+    results show a URL as its page spelt it first. All batches of a store fold
+    or none does.
     """
     base = store.snapshot()
+    if base.segments and max(base.facts("fold"), default=0) != int(fold):
+        raise ValueError("the batches before were folded differently")
     if base.last_batch is not None and batch_id <= base.last_batch:
         return base
     at = F.lit(now)
+    key = folded if fold else (lambda text: text)
     with working(store.spark, "index-pages") as keep:
         accepted = gated_pages(pages)
         if ttl_seconds > 0:
-            times = base.at("touched", accepted, "url")
-            accepted = gates.recrawl_due(accepted, times, at, ttl_seconds)
+            keyed = accepted.withColumn("_spelt", F.col("url")).withColumn("url", key(F.col("url")))
+            times = base.at("touched", keyed, "url")
+            accepted = gates.recrawl_due(keyed, times, at, ttl_seconds).withColumn("url", F.col("_spelt")).drop("_spelt")
         extracted = keep(ex.extract(accepted, languages, lemmatise=lemma_table is None), "extracted")
+        # From here on ``url`` is the key of a page, and ``spelt`` what results show.
+        extracted = extracted.withColumn("spelt", F.col("url")).withColumn("url", key(F.col("url")))
+        if fold:
+            extracted = extracted.withColumns(
+                {"words": F.transform("words", folded), "targets": F.transform("targets", folded)}
+            )
         extracted = ix.first_captures(ix.with_content(extracted))
         known = base.at("link", extracted, "url").select("url", F.col("link_id").alias("stored_id"))
         extracted = (
@@ -150,8 +167,11 @@ def index_pages(
         totals = keep(totals.join(asked.distinct(), "url_to", "left_semi"), "totals")
         most = totals.agg(F.max("inlinks")).first()[0]
 
-        new_pages = fresh.join(lengths, "link_id").join(
-            totals.select(F.col("url_to").alias("url"), "inlinks"), "url", "left"
+        new_pages = (
+            fresh.join(lengths, "link_id")
+            .join(totals.select(F.col("url_to").alias("url"), "inlinks"), "url", "left")
+            .join(extracted.select("link_id", "spelt"), "link_id")
+            .withColumn("url", F.col("spelt"))
         )
         linked = (
             base.at("link", targets.select(F.col("url_to").alias("url")), "url")
@@ -198,7 +218,7 @@ def index_pages(
                 "gram_counts": match.gram_counts(grams),
             },
             batch_id,
-            {} if most is None else {"max_inlinks": most},
+            {"fold": int(fold)} | ({} if most is None else {"max_inlinks": most}),
         )
 
 
@@ -224,6 +244,6 @@ def merge_segments(store: SegmentStore, everything: bool = False) -> Snapshot:
     }
     own["changes"] = _merged_changes
     own["gram_counts"] = lambda part, _: match.gram_counts(part.rows("grams"))
-    merged = store.merge(base, taken, own, {"max_inlinks": max})
+    merged = store.merge(base, taken, own, {"max_inlinks": max, "fold": max})
     store.vacuum()
     return merged

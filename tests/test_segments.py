@@ -8,6 +8,8 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from pagelode.functions.folding import folded, folded_text
+from pagelode.operators import index as ix
 from pagelode.operators import search as se
 from pagelode.plans import build, live
 from pagelode.plans import fixtures as fx
@@ -210,3 +212,34 @@ def test_recently_indexed_pages_are_skipped(spark):
     assert words() == ["firstword", "thirdword"]
     live.index_pages(store, page("fourthword"), 3, at(4), ttl_seconds=7200)
     assert words() == ["firstword", "thirdword"]
+
+
+def test_folded_live_index_equals_a_folded_build(spark):
+    shout = lambda text: F.concat(F.lit("<p>ÜBERGANG übergang Straßen</p>"), text)
+    pages = fx.linked_pages(spark, FOLDER).select("page_id", "url", "html").where("page_id < 30")
+    # The same URLs in capitals, as pages of their own and as targets.
+    louder = pages.select(F.col("page_id") + 100, F.upper("url"), shout(F.col("html"))).toDF(*pages.columns)
+    links = pages.select(
+        F.col("page_id") + 200,
+        F.concat(F.lit("http://New.example.com/"), F.col("page_id").cast("string")),
+        shout(F.concat(F.lit('<a href="'), F.upper("url"), F.lit('"></a>'))),
+    ).toDF(*pages.columns)
+    first, second = pages.union(louder), links
+    store = live.live_store(spark, scratch_path(spark, "live"), buckets=2)
+    live.index_pages(store, first, 0, NOW, fold=True)
+    live.index_pages(store, second, 1, NOW, fold=True)
+    whole = se.search_index(ix.folded_tables(build.build_tables(first.union(second))))
+    asked = fx.searches(spark).select("query_id", folded(F.col("query")).alias("query"), "language", "weight_tfidf")
+    asked = asked.union(spark.createDataFrame([(9, folded_text("ÜberGang"), "unknown", 0.5), (10, "strasse", "unknown", 0.5)]))
+
+    def told(index):
+        return sorted(map(tuple, se.search_batch(index, asked, limit=300).collect()), key=str)
+
+    expected = told(whole)
+    assert len({r[3] for r in expected}) > 10 and {r[0] for r in expected} >= {9, 10}
+    assert told(live.search_index(store.snapshot())) == expected
+    live.merge_segments(store, everything=True)
+    assert told(live.search_index(store.snapshot())) == expected
+    assert {r.url for r in store.snapshot().rows("link").collect()} == {r.url.lower() for r in first.union(second).collect()}
+    with pytest.raises(ValueError, match="folded"):
+        live.index_pages(store, second, 2, NOW)
