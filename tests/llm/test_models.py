@@ -163,7 +163,7 @@ def test_pipeline_of_odd_and_empty_tables(spark, odd, empty):
 
 def test_queries_are_registered():
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in names if x.startswith("op") and x[2].isdigit()}
+    assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in names if x.startswith("op") and x[2].isdigit()}
     assert "pipeline" in names and set(queries.SQL) <= names
 
 
