@@ -182,6 +182,45 @@ def test_crowded_bucket_is_compared_in_blocks(spark, monkeypatch):
     assert got == {i: int(near[i].sum()) - 1 for i in range(150)}
 
 
+@pytest.mark.parametrize("crowd", [4, 64])
+def test_many_tables_lose_no_link(spark, monkeypatch, crowd):
+    """More hyperplanes and tables than the sketch has bits, one label with most rows."""
+    monkeypatch.setattr(vectors, "_CROWD", crowd)
+    random_ = np.random.default_rng(8)
+    centres = random_.standard_normal((150, 32))
+    rows = []
+    for i in range(1200):
+        v = centres[i % 150] + random_.standard_normal(32) * (0.2 + 0.1 * (i % 3))
+        rows.append((i, [float(x) for x in v], "x" if i % 4 else "y"))
+    # An id with two vectors, a row twice, a null id.
+    rows += [(1300, rows[0][1], "y"), (1300, rows[1][1], "x"), (1301, rows[2][1], "x"), (1301, rows[2][1], "x")]
+    df = spark.createDataFrame([*rows, (None, rows[3][1], "x")], "vec_id BIGINT, embedding ARRAY<DOUBLE>, label STRING")
+    bits, tables = vectors.table_sizes(901, 0.93)
+    assert (bits * tables > vectors.SKETCH) == (crowd == 4)
+    unit = vectors.unit_vectors(np.array([r[1] for r in rows]))
+    marks = np.array([r[2] for r in rows])
+    near = (unit @ unit.T >= 0.93) & (marks[:, None] == marks[None, :])
+    links = [(rows[a][0], rows[b][0]) for a, b in zip(*np.nonzero(np.triu(near, 1)), strict=True)]
+    root = roots(sorted({r[0] for r in rows}), [(a, b) for a, b in links if a != b])
+    got = vectors.near_vectors(df, 0.93).collect()
+    assert sum(r.vec_id is None for r in got) == 1 and len(got) == len(rows) + 1
+    assert {r.vec_id: r.component_id for r in got if r.vec_id is not None} == root
+    alone = near.sum(axis=1) - 1
+    assert {r.vec_id: r.n_links for r in got if r.vec_id is not None and r.vec_id < 1200} == {i: int(alone[i]) for i in range(1200)}
+
+
+def test_a_pair_at_the_threshold_passes_the_sketch():
+    random_ = np.random.default_rng(9)
+    x = random_.standard_normal((20_000, 48))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = random_.standard_normal(x.shape)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y = 0.93 * x + math.sqrt(1 - 0.93**2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    planes = vectors._planes(48, vectors.SKETCH)
+    apart = ((x @ planes > 0) != (y @ planes > 0)).sum(axis=1)
+    assert apart.max() <= vectors.sketch_limit(0.93) < 40
+
+
 def test_edit_fingerprints_follow_the_definition(documents):
     rows = sorted((r.doc_id, r.text or "") for r in documents.collect())
     got = {r.doc_id: r for r in edits.edit_fingerprints(documents).collect()}
