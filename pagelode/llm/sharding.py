@@ -9,7 +9,9 @@ most, so the counts of the shards do too.
 The rows between two points form an arc. What the walk does to an arc depends
 only on how many rows each arc holds, so the walk is planned on those counts:
 one number per virtual node comes to the driver, however large the table is.
-Rows get their place by their rank within their arc. All else is DataFrame
+Rows get their place by their rank within their arc, which is counted in cells:
+an arc is cut by hash, so that ranking it takes as many tasks as it has rows for.
+Repeated rows are counted, ranked once and spread again. All else is DataFrame
 operations.
 """
 
@@ -23,6 +25,8 @@ from pyspark.sql.window import Window
 
 LAW = "rows"
 OVERHEAD = 16
+# Rows that are ranked in one cell, about.
+_CELL = 20_000
 
 
 @dataclass(frozen=True)
@@ -115,30 +119,55 @@ def assign_shards(
     ``size`` is the UTF-8 bytes of the text plus 16; a null text counts as none
     and has the CRC-32 of the empty string. The law is ``rows``: counts of the
     shards differ by one at most; ``slot`` counts from 0 in each shard without
-    gaps; ``grown_shard`` is null. Rows with a null doc_id are placed by their
-    text. Repeated rows are placed one by one, in any order among themselves.
-    Only doc_id and text are read; an empty table gives an empty result.
+    gaps; ``grown_shard`` is null. A row's key is its doc_id and text, so that an
+    id or null id on many rows spreads over the ring. Repeated rows are placed
+    one by one, side by side in their arc. Only doc_id and text are read; an
+    empty table gives an empty result.
     """
     spark = documents.sparkSession
     body = F.coalesce(documents[text], F.lit(""))
-    rows = documents.select(
-        documents[doc_id].alias("doc_id"),
-        (F.octet_length(body) + F.lit(OVERHEAD)).cast("bigint").alias("size"),
-        F.crc32(body).alias("text_crc32"),
-    ).withColumn("hashed", F.xxhash64(F.lit("key"), F.coalesce("doc_id", "text_crc32")))
+    rows = (
+        documents.select(
+            documents[doc_id].alias("doc_id"),
+            (F.octet_length(body) + F.lit(OVERHEAD)).cast("bigint").alias("size"),
+            F.crc32(body).alias("text_crc32"),
+        )
+        .groupBy("doc_id", "size", "text_crc32")
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .withColumn("hashed", F.xxhash64(F.lit("key"), "doc_id", "text_crc32", "size"))
+    )
     ring_points = _points(documents, ring)
     points, owners = [p for p, _ in ring_points], [s for _, s in ring_points]
     rows = with_arc(rows, points)
-    found = dict.fromkeys(range(ring.arcs), 0)
-    found |= {r["arc"]: r["count"] for r in rows.groupBy("arc").count().collect()}
+    told = rows.groupBy("arc").agg(F.sum("copies").alias("n"), F.count(F.lit(1)).alias("keys")).collect()
+    found = dict.fromkeys(range(ring.arcs), 0) | {r["arc"]: r["n"] for r in told}
     spans = plan_spans([found[a] for a in range(ring.arcs)], owners, ring.shards)
     # At most a few spans per arc, as each but an arc's last fills a shard.
     table = spark.createDataFrame(
         [(s.arc, s.low, s.high, s.shard, s.slot) for s in spans],
         "arc INT, low BIGINT, high BIGINT, shard INT, first BIGINT",
     )
-    order = Window.partitionBy("arc").orderBy("hashed", "doc_id", "text_crc32", "size")
-    ranked = rows.withColumn("at", (F.row_number().over(order) - 1).cast("bigint"))
+    # Sectors of the ring in the order of hashes; a cell is an arc's part of one.
+    bits = (sum(r["keys"] for r in told) // _CELL).bit_length()
+    rows = rows.withColumn("sector", F.shiftright("hashed", 64 - bits) if bits else F.lit(0).cast("bigint"))
+    sizes = rows.groupBy("arc", "sector").agg(F.sum("copies").alias("n"))
+    earlier = Window.partitionBy("arc").orderBy("sector").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("arc", "sector", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    order = Window.partitionBy("arc", "sector").orderBy("hashed", "doc_id", "text_crc32", "size")
+    within = F.sum("copies").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("copies")
+    ranked = (
+        rows.withColumn("within", within)
+        .join(sizes, ["arc", "sector"])
+        .select(
+            "doc_id",
+            "size",
+            "text_crc32",
+            "arc",
+            (F.col("before") + F.col("within")).alias("from"),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)).alias("copy"),
+        )
+        .withColumn("at", F.col("from") + F.col("copy"))
+    )
     placed = ranked.join(F.broadcast(table), "arc").where("at >= low and at < high")
     return placed.select(
         "doc_id",
