@@ -135,28 +135,35 @@ def mix_sources(
     one source, a place a row in it. ``weights`` are relative target weights of
     the sources, equal ones by default; sources without a weight, or with one
     that is not above zero, get the smallest given weight. Rows without a source
-    are a source of their own. Within a source the order is a seeded shuffle of
-    the ids. No row is left out or repeated. Columns of those two names are
+    are a source of their own. Within a source the order is a seeded shuffle.
+    No row is left out or repeated. Columns of those two names are
     replaced; an empty table stays empty.
 
     Per source, one count comes to the driver, and the plan that goes back has
     a frame per phase: for S sources at most S * max(``frame``, S) slots in all,
     of four bytes each; the sources must be few enough for that. Ranks within a
     source are taken in cells of its shuffled order, so a source with a third
-    of all rows is ranked by many tasks.
+    of all rows is ranked by many tasks. Rows are ordered by a hash of all their
+    columns (but maps) besides the id, so that only rows that are equal in all of
+    them may change places, and rows with an equal or null id share no cell.
     """
     spark = documents.sparkSession
     columns = [c for c in documents.columns if c not in ("mix_slot", "mix_place")]
+    # Columns under names of their own, and apart, so that those a query does not read are pruned.
+    held = {f"_{i}": c for i, c in enumerate(columns)}
+    hashable = [documents[c] for c in columns if "map<" not in documents.schema[c].dataType.simpleString()]
     key = F.coalesce(F.concat(F.lit("s"), documents[source].cast("string")), F.lit(""))
     rows = documents.select(
-        F.struct(*columns).alias("_row"),
+        *(documents[c].alias(n) for n, c in held.items()),
         key.alias("_source"),
         documents[doc_id].alias("_id"),
-        F.xxhash64(F.lit(seed), documents[doc_id]).alias("_hash"),
+        F.xxhash64(F.lit(seed), documents[doc_id], *hashable).alias("_hash"),
+        F.xxhash64(*hashable).alias("_whole"),
     )
+    back = [F.col(n).alias(c) for n, c in held.items()]
     counts = {r["_source"]: r["count"] for r in rows.groupBy("_source").count().collect()}
     if not counts:
-        return rows.select("_row.*", F.lit(0).cast("bigint").alias("mix_slot"), F.lit(0).alias("mix_place"))
+        return rows.select(*back, F.lit(0).cast("bigint").alias("mix_slot"), F.lit(0).alias("mix_place"))
     given = {f"s{s}": w for s, w in (weights or {}).items() if w > 0}
     least = min(given.values(), default=1.0)
     phases = plan_phases(
@@ -171,7 +178,7 @@ def mix_sources(
         Window.partitionBy("_source").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     )
     sizes = sizes.select("_source", "_cell", F.coalesce(before, F.lit(0)).alias("_before"))
-    in_cell = Window.partitionBy("_source", "_cell").orderBy("_hash", "_id")
+    in_cell = Window.partitionBy("_source", "_cell").orderBy("_hash", "_id", "_whole")
     ranked = (
         rows.withColumn("_at", F.row_number().over(in_cell) - 1)
         .join(sizes, ["_source", "_cell"])
@@ -194,7 +201,7 @@ def mix_sources(
         "_slots", F.pmod(number, F.size("_slots")).cast("int")
     )
     return placed.select(
-        "_row.*",
+        *back,
         slot.cast("bigint").alias("mix_slot"),
         F.pmod("_rank", F.lit(block)).cast("int").alias("mix_place"),
     )

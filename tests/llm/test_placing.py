@@ -59,13 +59,39 @@ def test_most_rows_stay_on_their_first_point(documents):
     points = sharding._points(documents, ring)
     got = sharding.assign_shards(documents, ring)
     owners = [s for _, s in points]
-    hashed = got.selectExpr("doc_id", "shard", "xxhash64('key', doc_id) as hashed")
+    hashed = got.selectExpr("doc_id", "shard", "xxhash64('key', doc_id, text_crc32, size) as hashed")
     placed = sharding.with_arc(hashed, [p for p, _ in points]).collect()
     for r in placed:
         assert r.arc == next((i for i, (p, _) in enumerate(points) if p >= r.hashed), 0)
     assert sum(owners[r.arc] == r.shard for r in placed) > 0.75 * len(placed)
 
 
+def test_few_rows_move(documents):
+    """One more shard, or a row less, moves little between the shards that stay."""
+    ring = sharding.Ring(8, 256)
+    before = {r.doc_id: r.shard for r in sharding.assign_shards(documents, ring).collect()}
+    grown = {r.doc_id: r.shard for r in sharding.assign_shards(documents, sharding.Ring(9, 256)).collect()}
+    one_less = sharding.assign_shards(documents.where("doc_id <> 3"), ring).collect()
+    moved = sum(before[i] != s for i, s in grown.items())
+    to_old = sum(before[i] != s and s < 8 for i, s in grown.items())
+    assert len(before) / 9 * 0.9 < moved < len(before) / 2 and to_old < 0.35 * len(before)
+    assert sum(before[r.doc_id] != r.shard for r in one_less) < 0.1 * len(before)
+
+
+def test_cells_of_an_arc_rank_as_one(documents, monkeypatch):
+    """Many cells give the same places as one, with an id, a null id and a row on many rows."""
+    hot = documents.sparkSession.range(300).selectExpr(
+        "case when id % 3 = 0 then 5 when id % 3 = 1 then null else 6 end as doc_id",
+        "case when id % 3 = 2 then 'same' else concat('text ', id % 90) end as text",
+    )
+    table = documents.select("doc_id", "text").union(hot)
+    one = sorted(sharding.assign_shards(table, sharding.Ring(5, 2)).collect(), key=str)
+    monkeypatch.setattr(sharding, "_CELL", 7)
+    many = sorted(sharding.assign_shards(table, sharding.Ring(5, 2)).collect(), key=str)
+    assert one == many and len(one) == table.count()
+    assert len({(r.shard, r.slot) for r in one}) == len(one)
+
+
 def test_no_shards_of_nothing(empty):
     assert sharding.assign_shards(empty).count() == 0
 
@@ -116,6 +142,15 @@ def test_the_plan_keeps_to_its_bound(n, frame):
     assert phases[-1].until == blocks
 
 
+def test_mixing_does_not_depend_on_the_order_of_equal_ids(documents, monkeypatch):
+    monkeypatch.setattr(mixing, "_CELL", 9)
+    table = documents.selectExpr("doc_id % 5 as doc_id", "text", "'s' as source", "n_chars").distinct()
+    one = mixing.mix_sources(table, block=3).collect()
+    two = mixing.mix_sources(table.repartition(13), block=3).collect()
+    assert sorted(one, key=str) == sorted(two, key=str)
+    assert len({(r.mix_slot, r.mix_place) for r in one}) == len(one)
+
+
 def test_mixing_odd_rows(odd, empty):
     got = mixing.mix_sources(odd, {"a": 3.0, "b": 0.0, "gone": 2.0}, block=1)
     assert got.columns == [*odd.columns, "mix_slot", "mix_place"]
