@@ -19,6 +19,8 @@ _FAST = r" ?[^\W\d_]+| ?\d+|'(?:s|t|re|ve|m|ll|d)| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+
 _CONTROLS = "\x1c\x1d\x1e\x1f"
 # Entries of a worker's dictionary. A full one is emptied, which only costs time.
 WORDS = 1_000_000
+# Longer words are encoded each time, so that the bound on entries is one on bytes.
+LONGEST = 64
 
 
 @cache
@@ -50,6 +52,8 @@ class WordIds(dict):
         self.entries = entries
 
     def __missing__(self, word: str) -> bytes:
+        if len(word) > LONGEST:
+            return self.encode(word)
         if len(self) >= self.entries:
             self.clear()
         ids = self[word] = self.encode(word)
