@@ -95,11 +95,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over documents, each written to the shared folder for the next one."""
+    """The stages over documents, each written to the shared folder for the next one.
+
+    A stage's table is removed once the next one is written; the result reads the last.
+    """
     scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for at, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if at < len(STAGES) - 1:
             docs = scratch.keep(docs, name)
+            if at:
+                scratch.drop(STAGES[at - 1][0])
     return docs
