@@ -12,12 +12,18 @@ becomes the rule, and a word takes the rule of its longest known ending.
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagelode.functions.words import UNKNOWN
+from pagelode.session import materialize
 
 GRAM = 3
+# Grams of the profiles that go to all tasks at once: a number per language each.
+MAX_BROADCAST_GRAMS = 200_000
 
 
 def word_grams(word: Column, size: int = GRAM) -> Column:
@@ -48,29 +54,35 @@ def score_languages(texts: DataFrame, profiles: DataFrame, key: str) -> DataFram
     it was seen. Ties go to the first name. A text without a word, or without
     any profile, has no row.
     """
-    grams = _gram_rows(texts, key)
+    profiles = materialize(profiles.select("gram", "language", "n"), "profiles")
     # One row per language; the number of distinct grams is that of all languages.
-    known = profiles.agg(F.count_distinct("gram")).scalar()
-    sizes = profiles.groupBy("language").agg(F.sum("n").alias("size")).withColumn("known", known)
-    seen = (
-        grams.join(profiles.withColumnRenamed("n", "seen"), "gram")
-        .groupBy(key, "language")
-        .agg(F.sum(F.col("n") * F.ln(F.col("seen") + F.lit(1.0))).alias("gain"))
-    )
-    totals = grams.groupBy(key).agg(F.sum("n").alias("total"))
-    listed = sizes.agg(F.collect_list(F.struct("language", "size", "known")).alias("languages"))
-    offered = totals.withColumn("languages", listed.scalar()).select(
-        key, "total", F.inline("languages")
-    )
-    likely = F.coalesce("gain", F.lit(0.0)) - F.col("total") * F.ln(F.col("size") + F.col("known"))
-    scored = offered.join(seen, [key, "language"], "left").select(key, "language", likely.alias("score"))
-    best = scored.groupBy(key).agg(F.max("score").alias("best"))
-    return (
-        scored.join(best, key)
-        .where("score = best")
+    sizes = profiles.groupBy("language").agg(F.sum("n").alias("size")).orderBy("language").collect()
+    texts = texts.where(F.col(key).isNotNull()).select(key, "words")
+    if not sizes:
+        return texts.limit(0).select(key, F.lit(UNKNOWN).alias("language"))
+    known = profiles.agg(F.count_distinct("gram")).first()[0]
+    told = F.ln(F.col("n") + F.lit(1.0))
+    gains = [f"_gain_{i}" for i in range(len(sizes))]
+    columns = [F.sum(F.when(F.col("language") == r.language, told)).alias(g) for g, r in zip(gains, sizes, strict=True)]
+    table = materialize(profiles.groupBy("gram").agg(*columns), "profile-columns")
+    # The profiles go to the texts, not the grams of the texts to the profiles: a text
+    # gives one row of sums. Profiles too large for that go in parts, one pass each.
+    grams = texts.select(key, F.explode("words").alias("word")).select(key, F.explode(word_grams(F.col("word"))).alias("gram"))
+    parts = 1 + known // MAX_BROADCAST_GRAMS
+    of_part = F.pmod(F.xxhash64("gram"), F.lit(parts))
+    sums = [F.coalesce(F.sum(g), F.lit(0.0)).alias(g) for g in gains]
+    passes = [
+        grams.join(F.broadcast(table.where(of_part == i)), "gram", "left")
         .groupBy(key)
-        .agg(F.min("language").alias("language"))
-    )
+        .agg(F.count(F.lit(1)).alias("total"), *sums)
+        for i in range(parts)
+    ]
+    seen = passes[0] if parts == 1 else reduce(DataFrame.union, passes).groupBy(key).agg(F.max("total").alias("total"), *sums)
+    scores = [
+        F.struct((F.col("total") * math.log(r.size + known) - F.col(g)).alias("cost"), F.lit(r.language).alias("language"))
+        for g, r in zip(gains, sizes, strict=True)
+    ]
+    return seen.select(key, F.array_min(F.array(*scores))["language"].alias("language"))
 
 
 def settle_languages(texts: DataFrame, key: str) -> DataFrame:

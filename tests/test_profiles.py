@@ -102,3 +102,21 @@ def test_rules_of_odd_pairs(spark):
     assert (told["a", "cats"], told["b", "cats"], told["a", "s"], told["a", ""]) == ("cat", "cats", "s", "")
     assert told[None, "cats"] == "cats" and len(told) == 6
     assert pr.lemma_rules(spark.createDataFrame([], kind)).count() == 0
+
+
+def test_texts_are_scored_where_they_are(spark, tmp_path, monkeypatch):
+    """Profiles meet the texts without a shuffle of their grams, in one part or in several."""
+    words = [("english", ["the", "there", "other", "this"]), ("german", ["der", "die", "oder", "das"]), ("french", ["les", "elle"])]
+    rows = [(i, words[i % 3][1] * 40, words[i % 3][0]) for i in range(300)]
+    rows += [(i, words[i % 3][1][:1] * 30, "unknown") for i in range(300, 390)] + [(None, ["the"], "unknown"), (0, ["die"], "unknown")]
+    spark.createDataFrame(rows, TEXTS).write.parquet(f"{tmp_path}/texts")
+    texts = spark.read.parquet(f"{tmp_path}/texts")
+    profiles = pr.language_profiles(texts)
+    found = pr.score_languages(texts.select("id", "words"), profiles, "id")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+    got = {r.id: r.language for r in found.collect()}
+    assert got == {i: words[i % 3][0] for i in range(390)}
+    monkeypatch.setattr(pr, "MAX_BROADCAST_GRAMS", 9)
+    parted = pr.score_languages(texts.select("id", "words"), profiles, "id")
+    assert {r.id: r.language for r in parted.collect()} == got
