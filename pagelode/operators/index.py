@@ -21,16 +21,19 @@ class IndexTables:
 
 
 def term_frequency(extracted: DataFrame, lemma_table: DataFrame | None = None) -> DataFrame:
-    """(word, link_id, weight): one shuffle, pre-aggregated on the map side.
+    """(word, link_id, weight): one shuffle, of pages by their id.
 
-    A page is one row, so its words meet in the map task already and the
-    shuffle carries one row per (page, word). With a lemma table, surface
-    forms are counted, mapped, and summed again.
+    A page travels as its array of words and is counted where it arrives, in
+    partitions that Spark sizes, so that no task holds the pairs of a whole input
+    split. Steps that group by or join on link_id go on without another
+    shuffle. With a lemma table, surface forms are counted, mapped, and summed again.
     """
     if lemma_table is None:
-        tokens = extracted.select("link_id", F.explode("words").alias("word"))
+        pages = extracted.select("link_id", "words").repartition("link_id")
+        tokens = pages.select("link_id", F.explode("words").alias("word"))
         return tokens.groupBy("word", "link_id").agg(F.count(F.lit(1)).alias("weight"))
-    tokens = extracted.select("link_id", "language", F.explode("words").alias("word"))
+    pages = extracted.select("link_id", "language", "words").repartition("link_id")
+    tokens = pages.select("link_id", "language", F.explode("words").alias("word"))
     surface = tokens.groupBy("word", "link_id", "language").agg(F.count(F.lit(1)).alias("weight"))
     return (
         table_lemmas(surface, lemma_table)

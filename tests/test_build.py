@@ -207,3 +207,18 @@ def test_words_alone_look_for_no_links(spark):
     assert "targets" not in alone.columns
     assert sorted(alone.collect()) == sorted(whole.drop("targets").collect())
     assert "href" not in alone._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_pages_are_shuffled_once_for_all_their_words(spark, tmp_path):
+    """No task counts the words of a whole input split; lengths and folded words need no other shuffle."""
+    rows = [(1, "u1", None, "english", ["Ab", "b", "ab"], []), (1, "u1", None, "english", ["b"], [])]
+    rows += [(None, "u2", None, "english", ["b"], []), (None, "u3", None, "german", ["b"], []), (3, "u4", None, "german", [], [])]
+    kind = "link_id BIGINT, url STRING, title STRING, language STRING, words ARRAY<STRING>, targets ARRAY<STRING>"
+    spark.createDataFrame(rows, kind).write.parquet(f"{tmp_path}/extracted")
+    counted = ix.term_frequency(spark.read.parquet(f"{tmp_path}/extracted"))
+    got = {(r.word, r.link_id): r.weight for r in counted.collect()}
+    assert got == {("Ab", 1): 1, ("ab", 1): 1, ("b", 1): 2, ("b", None): 2}
+    for table in (counted.select("*"), ix.page_length(counted)):
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "Exchange hashpartitioning(link_id#" in plan
+        assert plan.index("HashAggregate") < plan.index("Exchange") and "HashAggregate" not in plan[plan.index("Exchange") :]
