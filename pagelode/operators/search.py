@@ -232,8 +232,12 @@ def search(
 
 
 def grams_of(index: SearchIndex, needed: DataFrame) -> DataFrame:
-    """The buckets of the stored grams that can hold the needed ones."""
-    found = {row.bucket for row in needed.select(_bucket(index, "gram")).distinct().collect()}
+    """The stored grams that are needed; of too many to list, the buckets that can hold them."""
+    placed = needed.select("gram", _bucket(index, "gram")).distinct()
+    rows = _bounded(placed, MAX_PRUNING_WORDS)
+    if rows is not None:
+        return _prune(index.grams, "gram", rows)
+    found = {row.bucket for row in placed.select("bucket").distinct().collect()}
     return index.grams.where(_is_in("bucket", found))
 
 

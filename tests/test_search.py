@@ -205,3 +205,12 @@ def test_sketched_page_counts(spark):
     few = se.approximate_pages(merged, queries, spark.createDataFrame([(1, "rare")], "query_id BIGINT, word STRING"))
     rare = postings.where("language = 'english' and word = 'rare'").select("link_id").distinct().count()
     assert [r.pages for r in few.collect()] == [rare]
+
+
+def test_only_needed_grams_are_read(spark, stored, monkeypatch):
+    needed = spark.createDataFrame([("sear",), ("sear",), ("arch",), ("zzzz",)], "gram STRING")
+    read = {(r.gram, r.word) for r in se.grams_of(stored, needed).collect()}
+    assert {g for g, _ in read} == {"sear", "arch"} and ("arch", "research") in read
+    monkeypatch.setattr(se, "MAX_PRUNING_WORDS", 1)
+    more = {(r.gram, r.word) for r in se.grams_of(stored, needed).collect()}
+    assert more >= read
