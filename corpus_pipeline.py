@@ -28,24 +28,31 @@ MARGIN = 0.1
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """Each row as one column besides the columns an operator reads."""
-    return docs.select(F.struct(*docs.columns).alias("row"), "lang", "text")
+    """Each row as one column, but for its text, besides the columns an operator reads.
+
+    So a text goes to a worker once, as what is read and as what is kept.
+    """
+    return docs.select(F.struct(*(c for c in docs.columns if c != "text")).alias("row"), "lang", "text")
+
+
+def _unpacked(packed: DataFrame, columns: list[str]) -> DataFrame:
+    return packed.select(*("text" if c == "text" else F.col("row").getField(c).alias(c) for c in columns))
 
 
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the classifier keeps; those without a word go."""
     model = quality.fit_quality(docs)
-    scored = quality.score_quality(_packed(docs), model, keep=("row",))
-    return scored.where("kept").select("row.*")
+    scored = quality.score_quality(_packed(docs), model, keep=("row", "text"))
+    return _unpacked(scored.where("kept"), docs.columns)
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a letter whose declared language, if any, is not clearly another."""
     prototypes = language.train_prototypes(docs)
-    found = language.predict_language(_packed(docs), prototypes, keep=("row", "lang"))
+    found = language.predict_language(_packed(docs), prototypes, keep=("row", "lang", "text"))
     other = F.col("lang").isNotNull() & (F.col("lang") != F.col("lang_pred")) & (F.col("margin") >= MARGIN)
     lettered = (F.col("lang_pred") != language.UNKNOWN) | F.lit(not prototypes)
-    return found.where(lettered & ~other).select("row.*")
+    return _unpacked(found.where(lettered & ~other), docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

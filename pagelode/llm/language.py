@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagelode.llm.passing import passed
+from pagelode.llm.passing import passed, read_once
 
 UNKNOWN = "und"
 SIZE = 512
@@ -183,8 +183,8 @@ def predict_language(
     answered each, and other columns are not read.
     """
     names = sorted(prototypes)
+    rows, at, n = read_once(documents, keep, text)
     matrix = np.stack([prototypes[n] / (np.linalg.norm(prototypes[n]) or 1.0) for n in names]) if names else None
-    rows = documents.select(*keep, documents[text].alias("_text"))
     kept = documents.select(*keep).schema
 
     def run(batches):
@@ -192,7 +192,7 @@ def predict_language(
             told, scores = [UNKNOWN] * batch.num_rows, [0.0] * batch.num_rows
             margins = [0.0] * batch.num_rows
             if names:
-                for found, listed in _groups(batch.column(batch.num_columns - 1).to_pylist()):
+                for found, listed in _groups(batch.column(at).to_pylist()):
                     bundles = _bundles(listed, matrix.shape[1]).astype(float)
                     length = np.linalg.norm(bundles, axis=1)
                     cosine = bundles @ matrix.T / np.where(length > 0, length, 1.0)[:, None]
@@ -202,8 +202,8 @@ def predict_language(
                     for i, b, first, second in zip(found, best, ordered[:, -1], ordered[:, -2], strict=True):
                         told[i], scores[i], margins[i] = names[b], float(first), float(first - second)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(told, pa.string()), pa.array(scores, pa.float64()), pa.array(margins, pa.float64())],
-                names=[*batch.schema.names[:-1], "lang_pred", "score", "margin"],
+                [*batch.columns[:n], pa.array(told, pa.string()), pa.array(scores, pa.float64()), pa.array(margins, pa.float64())],
+                names=[*batch.schema.names[:n], "lang_pred", "score", "margin"],
             )
 
     return rows.mapInArrow(run, passed(kept, "lang_pred string, score double, margin double"))

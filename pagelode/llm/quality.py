@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelode.llm.passing import passed
+from pagelode.llm.passing import passed, read_once
 
 # At most so many documents train the scorer, those with the smallest hashed id.
 SAMPLE = 20_000
@@ -169,6 +169,8 @@ def features(text: str, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]
     return at, np.fromiter(found.values(), float, len(found)) * (len(words) / (len(words) + LEAST_WORDS))
 
 
+# Entries of a worker's dictionaries, which other stages of a pipeline keep in memory.
+_HELD = 20_000
 _SHAPES: dict[str, str] = {}
 _BUCKET_OF: dict[tuple[str, int], int] = {}
 
@@ -176,7 +178,7 @@ _BUCKET_OF: dict[tuple[str, int], int] = {}
 def _shape(classes: str) -> str:
     found = _SHAPES.get(classes)
     if found is None:
-        if len(_SHAPES) > 200_000:
+        if len(_SHAPES) >= _HELD:
             _SHAPES.clear()
         found = "".join(c for c, before in zip(classes, " " + classes, strict=False) if c != before)
         # Words that are long are too many to keep.
@@ -189,7 +191,7 @@ def _bucket(name: str, buckets: int) -> int:
     found = _BUCKET_OF.get((name, buckets))
     if found is None:
         found = zlib.crc32(name.encode()) % buckets
-        if len(_BUCKET_OF) > 200_000:
+        if len(_BUCKET_OF) >= _HELD:
             _BUCKET_OF.clear()
         if len(name) <= 72:
             _BUCKET_OF[name, buckets] = found
@@ -332,11 +334,11 @@ def score_quality(
 
     def run(batches):
         for batch in batches:
-            scores = [scorer.score(t.as_py()) for t in batch.column(batch.num_columns - 1)]
+            scores = [scorer.score(t.as_py()) for t in batch.column(at)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(scores, pa.float64()), pa.array([s >= threshold for s in scores])],
-                names=[*batch.schema.names[:-1], "quality", "kept"],
+                [*batch.columns[:n], pa.array(scores, pa.float64()), pa.array([s >= threshold for s in scores])],
+                names=[*batch.schema.names[:n], "quality", "kept"],
             )
 
-    rows = documents.select(*keep, documents[text].alias("_text"))
+    rows, at, n = read_once(documents, keep, text)
     return rows.mapInArrow(run, passed(kept, "quality double, kept boolean"))

@@ -172,3 +172,23 @@ def test_query_equals_sql(spark, name):
     folder = "/root/testdata/sf0.001"
     con = compare.connect(folder)
     assert compare.spark_rows(queries.REGISTERED[name](spark, folder)) == compare.sql_rows(con, queries.SQL[name])
+
+
+def test_a_kept_text_goes_to_a_worker_once(spark, tmp_path):
+    import corpus_pipeline
+    from pagelode.llm import language, quality
+
+    rows = [(i, ["The quick brown fox jumps over the lazy dog. " * 9, None, ""][i % 3], "en", "s") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING, source STRING")
+    docs.write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    model = quality.fit_quality(docs)
+    prototypes = language.train_prototypes(docs)
+    for run, told in ((quality.score_quality, (model,)), (language.predict_language, (prototypes,))):
+        once, twice = (run(docs, *told, keep=k) for k in (("doc_id", "text", "lang"), ("doc_id", "lang")))
+        assert "_text" not in once._jdf.queryExecution().optimizedPlan().toString()
+        assert once.columns[:3] == ["doc_id", "text", "lang"] and once.columns[3:] == twice.columns[2:]
+        assert sorted(map(str, once.drop("text").collect())) == sorted(map(str, twice.collect()))
+        assert sorted(map(str, once.select(*docs.columns[:3]).collect())) == sorted(map(str, docs.drop("source").collect()))
+    kept = corpus_pipeline.by_quality(spark, docs, "")
+    assert kept.columns == docs.columns and kept.count() == 10
