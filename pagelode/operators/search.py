@@ -195,7 +195,7 @@ def search(
     language: str,
     weight_tfidf: float = 0.6,
     page: int = 1,
-    limit: int = 10,
+    limit: int | None = 10,
     missing_backlinks: str = "null",
     collapse: str | None = None,
 ) -> DataFrame:
@@ -203,12 +203,14 @@ def search(
 
     One row per matched word and page, so a URL can repeat; without backlinks
     the rank is NULL. ``missing_backlinks="zero"`` and ``collapse`` ("max" or
-    "sum", one row per URL) change that. A page below 1 is page 1.
+    "sum", one row per URL) change that. A page below 1 is page 1. Without a
+    ``limit`` the first page holds all results.
 
     The postings alone decide which rows come up to the end of the page, so
     titles are looked up for those only.
     """
-    wanted = max(page, 1) * limit
+    if limit is None and page > 1:
+        raise ValueError("without a limit there is one page")
     found = hits(index, query, language)
     hit_pages = found.agg(F.count_distinct("link_id").alias("n")).scalar()
     ranked = _collapse(
@@ -221,6 +223,9 @@ def search(
         [],
         collapse,
     )
+    if limit is None:
+        return _with_titles(index, ranked).select("title", "url", "rank", "word").orderBy(*_order())
+    wanted = max(page, 1) * limit
     rows = ranked.orderBy(*_order()).limit(wanted)
     return (
         _with_titles(index, rows)

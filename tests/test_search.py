@@ -214,3 +214,15 @@ def test_only_needed_grams_are_read(spark, stored, monkeypatch):
     monkeypatch.setattr(se, "MAX_PRUNING_WORDS", 1)
     more = {(r.gram, r.word) for r in se.grams_of(stored, needed).collect()}
     assert more >= read
+
+
+@pytest.mark.parametrize("kind", ["stored", "lazy"])
+@pytest.mark.parametrize("pruned", [1, 1_000])
+def test_without_a_limit_all_rows_come_in_order(request, kind, pruned, monkeypatch):
+    monkeypatch.setattr(se, "MAX_PRUNING_ROWS", pruned)
+    index = request.getfixturevalue(kind)
+    for page in (0, 1):
+        same(rows(se.search(index, "sear", "english", page=page, limit=None)), in_order(expected()))
+    assert rows(se.search(index, "zzzz", "english", limit=None)) == []
+    with pytest.raises(ValueError, match="one page"):
+        se.search(index, "sear", "english", page=2, limit=None)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from datetime import datetime
+from itertools import product
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from pagelode.operators import index as ix
 from pagelode.operators import search as se
 from pagelode.plans import build, live
 from pagelode.plans import fixtures as fx
+from pagelode.plans.queries import REGISTERED as QUERIES
 from pagelode.session import scratch_path, working
 from pagelode.sources import files
 from pagelode.sources.segments import SegmentStore, Snapshot, Table
@@ -243,3 +245,17 @@ def test_folded_live_index_equals_a_folded_build(spark):
     assert {r.url for r in store.snapshot().rows("link").collect()} == {r.url.lower() for r in first.union(second).collect()}
     with pytest.raises(ValueError, match="folded"):
         live.index_pages(store, second, 2, NOW)
+
+
+def test_search_after_batches_gives_all_rows(spark, tmp_path):
+    """More hits than the 100,000 rows it once stopped at."""
+    words = ["ther" + "".join(end) for end in product("bcdfghk", repeat=6)][:100_020]
+    texts = [" ".join(["the of and", *words[i::4]]) for i in range(4)]
+    pages = [(i, f"http://a.example.com/{i}.html", f"<title>t</title><p>{text}</p>") for i, text in enumerate(texts)]
+    spark.createDataFrame(pages, "page_id BIGINT, url STRING, html STRING").write.parquet(f"{tmp_path}/pages.parquet")
+    found = QUERIES["search_after_batches"](spark, str(tmp_path)).collect()
+    wanted = {(url, word) for i, (_, url, _) in enumerate(pages) for word in (*words[i::4], "zzzq")}
+    assert len(found) == len(wanted) == 100_024
+    assert {(r.url, r.word) for r in found} == wanted
+    order = [(r["rank"] is None, -(r["rank"] or 0)) for r in found]
+    assert order == sorted(order)
